@@ -13,7 +13,6 @@ from foliograph.functions.vectors import postings, unit
 from foliograph.operators.approximate import approximate_nearest, candidates
 from foliograph.operators.knn import nearest
 from foliograph.operators.sampling import sample_rows
-from foliograph.operators.topn import top_categories
 from foliograph.plans import adapter, clean, index, qa, retrieval, stats, summaries
 from foliograph.plans.listing import list_papers, with_page_count
 from foliograph.session import scratch_path
@@ -282,7 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_stats": _statistic(stats.author_stats),
     "paper_listing": paper_listing,
     "chart_prep": chart_prep,
-    "top_categories": lambda spark, sf: top_categories(_prepared(spark, sf)),
+    "top_categories": lambda spark, sf: summaries.largest_categories(_prepared(spark, sf)),
     "category_pivot": lambda spark, sf: summaries.category_pivot(_prepared(spark, sf)),
     "year_trend_top5": lambda spark, sf: summaries.year_trend(_prepared(spark, sf)),
     "status_share": lambda spark, sf: summaries.status_share(_prepared(spark, sf)),

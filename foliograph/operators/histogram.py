@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def density_histogram(values: DataFrame, group: str, value: str, bins: int = 30) -> DataFrame:
-    """Histogram of an integer column between each group's own extremes.
+def density_histogram(
+    counts: DataFrame, group: str, value: str, count: str, bins: int = 30
+) -> DataFrame:
+    """Histogram between each group's own extremes, from counts per value.
 
     Bins are half open, the last one closed; a group with a single value gets
-    a range of one around it.  Empty bins are kept.  Rows are counted per
-    distinct value before anything else, so later steps see one row per
-    (group, value) whatever the group sizes are.
+    a range of one around it.  Empty bins are kept.  The input is counted per
+    value already, so its size does not follow the number of rows behind it;
+    a value may come in several rows.
     """
     if bins < 1:
         raise ValueError("bins must be positive")
     counts = (
-        values.filter(F.col(value).isNotNull())
+        counts.filter(F.col(value).isNotNull())
         .groupBy(group, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum(count).alias("_n"))
     )
     spread = F.when(F.col("_min") == F.col("_max"), F.lit(0.5)).otherwise(F.lit(0.0))
     ranges = (

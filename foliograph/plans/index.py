@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from foliograph.functions.text import py_strip, py_words, status_label, strict_integer
 from foliograph.plans.embed import embed
@@ -15,12 +15,13 @@ CHUNK_OVERLAP = 40
 
 def eligible_papers(papers: DataFrame) -> DataFrame:
     """Papers fit for the index: five non-blank texts and a whole-number year."""
+    whole = isinstance(papers.schema["submitted_year"].dataType, T.IntegralType)
     rows = papers.select(
         py_strip("arxiv_id").alias("arxiv_id"),
         py_strip("title").alias("title"),
         py_strip("abstract").alias("abstract"),
         py_strip("primary_category").alias("category"),
-        strict_integer("submitted_year").alias("year"),
+        (F.col("submitted_year") if whole else strict_integer("submitted_year")).cast("bigint").alias("year"),
         status_label("pub_status").alias("pub_status"),
         py_strip("first_author").alias("first_author"),
     ).filter(F.col("year").isNotNull())
@@ -45,7 +46,7 @@ def chunk_papers(papers: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK
     if not 0 <= overlap < size:
         raise ValueError("chunk overlap must be at least 0 and below the chunk size")
     step = size - overlap
-    words = papers.withColumn("_words", py_words("abstract")).filter(F.size("_words") > 0)
+    words = papers.filter(py_strip("abstract") != "").withColumn("_words", py_words("abstract"))
     windows = F.transform(
         F.sequence(F.lit(0), _window_count(F.size("_words"), size, step) - 1),
         lambda i: F.array_join(F.slice("_words", i * step + 1, F.lit(size)), " "),

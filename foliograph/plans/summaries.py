@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from foliograph.operators.histogram import density_histogram
-from foliograph.operators.topn import OTHER, top_list, with_category_group
+from foliograph.operators.topn import OTHER, top_categories, top_list, with_category_group
 
 # Publication states, in the order they are stacked and listed.
 STATUSES = ("published", "unpublished")
@@ -25,6 +25,15 @@ def prepare_papers(papers: DataFrame) -> DataFrame:
     return kept
 
 
+def _counts(prepared: DataFrame, *by: str) -> DataFrame:
+    """Papers per category and ``by``: the one shuffle each chart reads from."""
+    return prepared.groupBy("primary_category", *by).agg(F.count("*").alias("paper_count"))
+
+
+def largest_categories(prepared: DataFrame, n: int = 5) -> DataFrame:
+    return top_categories(_counts(prepared), n)
+
+
 def category_pivot(prepared: DataFrame) -> DataFrame:
     """Category by status with totals; ``unpublished_base`` is where its bar starts."""
     wide = (
@@ -44,10 +53,8 @@ def category_pivot(prepared: DataFrame) -> DataFrame:
 
 def year_trend(prepared: DataFrame, n: int = 5) -> DataFrame:
     """Papers per year for the ``n`` largest categories and the rest, gaps as zero."""
-    names = top_list(prepared, n)
-    by_year = prepared.groupBy("submitted_year", "primary_category").agg(
-        F.count("*").alias("paper_count")
-    )
+    by_year = _counts(prepared, "submitted_year")
+    names = top_list(by_year, n)
     grouped = (
         with_category_group(by_year, names, "primary_category")
         .groupBy("submitted_year", "category_group")
@@ -83,5 +90,6 @@ def status_share(prepared: DataFrame) -> DataFrame:
 
 def length_histogram(prepared: DataFrame, n: int = 5, bins: int = 30) -> DataFrame:
     """Word-count densities of the ``n`` largest categories and the rest."""
-    grouped = with_category_group(prepared, top_list(prepared, n), "primary_category")
-    return density_histogram(grouped, "category_group", "abstract_word_count", bins)
+    by_length = _counts(prepared, "abstract_word_count")
+    grouped = with_category_group(by_length, top_list(by_length, n), "primary_category")
+    return density_histogram(grouped, "category_group", "abstract_word_count", "paper_count", bins)
