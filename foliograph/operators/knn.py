@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from foliograph.functions.vectors import HASH_DIM
 
@@ -70,12 +70,20 @@ def nearest(
     return F.broadcast(ranked) if few and head.num_rows * k <= BROADCAST_ROWS else ranked
 
 
-def _storage(df: DataFrame, name: str):
+def _storage(df: DataFrame, name: str) -> Column:
     """Numeric arrays as doubles; hashed vectors stay integer."""
     kind = df.schema[name].dataType
     return F.col(name).cast("array<double>").alias(name) if isinstance(kind, T.ArrayType) else F.col(name)
 
 
+def _share(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def _each(parts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+
 def _broadcast_scan(side, head: pa.Table, k: int, schema: T.StructType, vector_col: str) -> DataFrame:
     spark = side.sparkSession
     if head.num_rows == 0:
@@ -95,12 +103,8 @@ def _grid_scan(side, asked, k, schema, vector_col, query_block, slice_rows) -> D
     id_col = side.columns[0]
     blocks = -(-asked.count() // query_block)
     slices = max(1, -(-side.count() // slice_rows))
-    left = side.withColumn("_slice", F.pmod(F.xxhash64(id_col), F.lit(slices))).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    right = asked.withColumn(
-        "_block", F.pmod(F.xxhash64("query_key"), F.lit(blocks)).cast("int")
-    ).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("bigint"))
+    left = side.withColumn("_slice", _share(id_col, slices)).withColumn("_block", _each(blocks))
+    right = asked.withColumn("_block", _share("query_key", blocks)).withColumn("_slice", _each(slices))
 
     def pair(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         found_schema = pa.schema(
