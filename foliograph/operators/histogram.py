@@ -46,21 +46,21 @@ def density_histogram(
         )
         .otherwise(F.col("_guess"))
     )
-    filled = (
+    per_bin = (
         counts.join(ranges, F.col(group).eqNullSafe(F.col("_group")))
         .withColumn("_guess", guess)
-        .groupBy(F.col("_group"), settled.alias("bin"))
+        .groupBy("_group", "_total", "_lo", "_hi", "_step", settled.alias("bin"))
         .agg(F.sum("_n").alias("_n"))
     )
-    grid = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    f, g = filled.alias("f"), grid.alias("g")
-    n = F.coalesce(F.col("f._n"), F.lit(0))
-    left, right = edge(F.col("g.bin")), edge(F.col("g.bin") + 1)
-    return g.join(
-        f, F.col("g._group").eqNullSafe(F.col("f._group")) & (F.col("g.bin") == F.col("f.bin")), "left"
-    ).select(
-        F.col("g._group").alias(group),
-        F.col("g.bin").alias("bin"),
+    # At most ``bins`` entries per group: a map fills the empty ones.
+    filled = per_bin.groupBy("_group", "_total", "_lo", "_hi", "_step").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "_n"))).alias("_bins")
+    )
+    n = F.coalesce(F.try_element_at("_bins", F.col("bin")), F.lit(0))
+    left, right = edge(F.col("bin")), edge(F.col("bin") + 1)
+    return filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select(
+        F.col("_group").alias(group),
+        "bin",
         left.alias("left_edge"),
         right.alias("right_edge"),
         n.alias("row_count"),

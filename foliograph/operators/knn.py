@@ -17,11 +17,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from foliograph.functions.vectors import HASH_DIM
 
 # Queries one task holds at a time: the bound under which they are broadcast.
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 4096
 # Vectors in one group of the grid that is used beyond that bound.
 SLICE_ROWS = 20_000
-# Result rows up to which a join that fetches their texts may broadcast them.
-BROADCAST_ROWS = 200_000
 # Entries of one distance matrix.
 CELLS = 2_000_000
 # Slack under which a matrix product may differ from the exact dot product.
@@ -60,14 +58,12 @@ def nearest(
         ]
     )
     head = asked.limit(query_block + 1).toArrow()
-    few = head.num_rows <= query_block
-    if few:
+    if head.num_rows <= query_block:
         found = _broadcast_scan(side, head, k, schema, vector_col)
     else:
         found = _grid_scan(side, asked, k, schema, vector_col, query_block, slice_rows)
     order = Window.partitionBy("query_key").orderBy("distance", id_col)
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return F.broadcast(ranked) if few and head.num_rows * k <= BROADCAST_ROWS else ranked
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def _storage(df: DataFrame, name: str) -> Column:

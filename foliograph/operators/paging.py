@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foliograph.session import checkpoint_root
+from foliograph.session import kept
 
 # Rows up to which a page is found by a top-k; deeper pages sort by range.
 TOP_K_ROWS = 100_000
@@ -18,9 +18,7 @@ def page(df: DataFrame, order: list[Column], limit: int, offset: int, top_k_rows
     # A top-k would gather all skipped rows in one task.  Sort by range
     # instead, keep the sorted partitions, and count rows per partition to
     # see which ones hold the page.
-    checkpoint_root(df.sparkSession)
-    ordered = df.orderBy(*order).checkpoint()
-    numbered = ordered.withColumn("_id", F.monotonically_increasing_id())
+    numbered = kept(df.orderBy(*order)).withColumn("_id", F.monotonically_increasing_id())
     part, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
     sizes = numbered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
     wanted, start = F.lit(False), 0

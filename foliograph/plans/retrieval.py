@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foliograph.functions.text import py_strip
 from foliograph.operators.knn import QUERY_BLOCK, nearest
+from foliograph.operators.lookup import rows_for
 from foliograph.plans.embed import embed
-from foliograph.session import checkpoint_root
+from foliograph.session import kept
+
+# Hits up to which the join that fetches their texts broadcasts them.
+BROADCAST_ROWS = 200_000
 
 DEFAULT_TOP_K = 5
 MAX_TOP_K = 50
@@ -64,13 +68,16 @@ def hits_by_text(
     asked = embed(distinct, "query_text", backend, **options)
     if backend.lower() != "hashed":
         # The model must be asked once, not once per use of its answer.
-        checkpoint_root(asked.sparkSession)
-        asked = asked.checkpoint()
-    found = nearest(chunks, asked, k, query_block=query_block)
-    stored = chunks.select([f for f in HIT_FIELDS if f not in ("rank", "distance")])
+        asked = kept(asked)
+    # Kept, so that the search runs once and its size is known.
+    found = kept(nearest(chunks, asked, k, query_block=query_block))
+    wanted = [f for f in HIT_FIELDS if f not in ("rank", "distance")]
+    if found.count() <= BROADCAST_ROWS:
+        rows = rows_for(chunks, found, "chunk_id", wanted)
+    else:
+        rows = chunks.select(*wanted).join(found, "chunk_id")
     hits = (
-        stored.join(found, "chunk_id")
-        .filter(F.col("arxiv_id").isNotNull())
+        rows.filter(F.col("arxiv_id").isNotNull())
         .groupBy("query_key")
         .agg(F.sort_array(F.collect_list(_hit())).alias("hits"))
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from foliograph.operators.histogram import density_histogram
 from foliograph.operators.topn import OTHER, top_categories, top_list, with_category_group
+from foliograph.session import kept
 
 # Publication states, in the order they are stacked and listed.
 STATUSES = ("published", "unpublished")
@@ -15,18 +16,23 @@ _NUMERIC = ("submitted_year", "abstract_word_count")
 
 
 def prepare_papers(papers: DataFrame) -> DataFrame:
-    """Rows with all chart fields, year and word count as whole numbers."""
-    kept = papers.na.drop(subset=list(_NEEDED))
-    for name in _NUMERIC:
-        kept = kept.withColumn(name, F.col(name).try_cast("double"))
-    kept = kept.na.drop(subset=list(_NUMERIC))
+    """Rows with all chart fields, year and word count as whole numbers.
+
+    Columns that hold whole numbers already are taken as they are, so that a
+    count made in the same plan is not made again per conversion.
+    """
+    kept_rows = papers
     for name in _NUMERIC:
-        kept = kept.withColumn(name, F.col(name).cast("bigint"))
-    return kept
+        if not isinstance(papers.schema[name].dataType, T.IntegralType):
+            number = F.col(name).try_cast("double")
+            kept_rows = kept_rows.withColumn(name, F.when(~F.isnan(number), number))
+    for name in _NEEDED:
+        kept_rows = kept_rows.filter(F.col(name).isNotNull())
+    return kept_rows.withColumns({name: F.col(name).cast("bigint") for name in _NUMERIC})
 
 
 def _counts(prepared: DataFrame, *by: str) -> DataFrame:
-    """Papers per category and ``by``: the one shuffle each chart reads from."""
+    """Papers per category and ``by``: all that a chart reads of the papers."""
     return prepared.groupBy("primary_category", *by).agg(F.count("*").alias("paper_count"))
 
 
@@ -53,7 +59,7 @@ def category_pivot(prepared: DataFrame) -> DataFrame:
 
 def year_trend(prepared: DataFrame, n: int = 5) -> DataFrame:
     """Papers per year for the ``n`` largest categories and the rest, gaps as zero."""
-    by_year = _counts(prepared, "submitted_year")
+    by_year = kept(_counts(prepared, "submitted_year"))
     names = top_list(by_year, n)
     grouped = (
         with_category_group(by_year, names, "primary_category")
@@ -90,6 +96,6 @@ def status_share(prepared: DataFrame) -> DataFrame:
 
 def length_histogram(prepared: DataFrame, n: int = 5, bins: int = 30) -> DataFrame:
     """Word-count densities of the ``n`` largest categories and the rest."""
-    by_length = _counts(prepared, "abstract_word_count")
+    by_length = kept(_counts(prepared, "abstract_word_count"))
     grouped = with_category_group(by_length, top_list(by_length, n), "primary_category")
     return density_histogram(grouped, "category_group", "abstract_word_count", "paper_count", bins)

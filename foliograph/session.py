@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are written for.  Partition counts are left to adaptive
 # execution; a cluster sets spark.sql.shuffle.partitions to a small multiple
@@ -42,6 +42,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed now and kept in the shared folder, its lineage cut."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder for one intermediate table."""
     return f"{checkpoint_root(spark)}/foliograph/{label}-{uuid.uuid4().hex}"

@@ -136,3 +136,21 @@ def test_summary_counts(spark):
     chunks = index.chunk_papers(index.eligible_papers(papers(spark, paper(250, "a"), paper(1, "b"))))
     assert tuple(index.summarize(chunks).first()) == (2, 3)
     assert chunks.filter(F.col("chunk_id") == "a:1").first()["chunk_idx"] == 1
+
+
+def test_lookup_reads_only_the_files_that_hold_the_ids(spark, tmp_path):
+    from foliograph.operators.lookup import rows_for
+
+    spark.range(100).select("id", F.concat(F.lit("t"), "id").alias("t")).repartitionByRange(10, "id") \
+        .write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    ids = spark.createDataFrame([(3, "x"), (4, "y"), (55, "z"), (999, "none")], "id bigint, tag string")
+    want = [(3, "t3", "x"), (4, "t4", "y"), (55, "t55", "z")]
+    for many in (1, 1000):
+        found = rows_for(table, ids, "id", ["id", "t"], many_files=many)
+        assert sorted(tuple(r) for r in found.select("id", "t", "tag").collect()) == want
+    few = rows_for(table, ids, "id", ["id", "t"], many_files=1)
+    assert few.rdd.getNumPartitions() <= 2 < table.rdd.getNumPartitions()
+    derived = table.select("id", F.upper("t").alias("t"))
+    assert rows_for(derived, ids, "id", ["id", "t"], many_files=1).count() == 3
+    assert rows_for(table, ids.limit(0), "id", ["id", "t"], many_files=1).count() == 0
