@@ -51,7 +51,7 @@ def space_tokens(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Number of words, where CR, LF, TAB and space separate and nothing else."""
-    return F.size(F.array_remove(F.split(_col(c), "[ \\r\\n\\t]+"), ""))
+    return F.regexp_count(_col(c), F.lit(r"[^ \r\n\t]+"))
 
 
 def comma_names(c: Column | str) -> Column:

@@ -39,6 +39,7 @@ def candidates(
     seed: int = 42,
 ) -> DataFrame:
     """Vectors that share a bucket with at least one query."""
+    vectors = vectors.filter(F.col(vector_col).isNotNull())
     lsh = BucketedRandomProjectionLSH(
         inputCol="_vector", outputCol="_hashes", numHashTables=tables, bucketLength=bucket_length, seed=seed
     )

@@ -21,12 +21,13 @@ def ingest(
     sample_size: int | None = None,
     sample_frac: float | None = None,
     seed: int = 42,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read, filter by category, sample, and store; returns the raw table.
 
     Without ``categories`` (or with none listed) the default five are kept.
     """
-    records = filter_categories(read_records(spark, path), categories or DEFAULT_CATEGORIES)
+    records = filter_categories(read_records(spark, path, multi_line), categories or DEFAULT_CATEGORIES)
     replace_table(raw_papers(sample_rows(records, sample_size, sample_frac, seed)), RAW_TABLE)
     raw = spark.table(RAW_TABLE)
     if json_path is not None:

@@ -5,7 +5,11 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# New ids up to which an append broadcasts them instead of shuffling all
+# stored ids.
+BROADCAST_IDS = 500_000
 
 
 class ChunkStore:
@@ -18,32 +22,35 @@ class ChunkStore:
         self.collection = collection
         self.path = f"{root.rstrip('/')}/{collection}"
 
-    def exists(self) -> bool:
+    def _stored(self) -> DataFrame | None:
         try:
-            self.spark.read.parquet(self.path)
+            return self.spark.read.parquet(self.path)
         except AnalysisException as exc:
             if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
+                return None
             raise
-        return True
 
     def read(self) -> DataFrame:
-        if not self.exists():
+        stored = self._stored()
+        if stored is None:
             raise ValueError(f"collection {self.collection!r} has not been built at {self.path}")
-        return self.spark.read.parquet(self.path)
+        return stored
 
     def size(self) -> int:
-        return self.read().count() if self.exists() else 0
+        stored = self._stored()
+        return 0 if stored is None else stored.count()
 
     def is_empty(self) -> bool:
-        return not self.exists() or self.read().isEmpty()
+        stored = self._stored()
+        return stored is None or stored.isEmpty()
 
     def replace(self, chunks: DataFrame) -> None:
         chunks.write.mode("overwrite").parquet(self.path)
 
     def unseen(self, chunks: DataFrame) -> DataFrame:
         """Chunks whose id is not stored yet."""
-        return only_new(chunks, self.read()) if self.exists() else chunks
+        stored = self._stored()
+        return chunks if stored is None else only_new(chunks, stored)
 
     def add(self, chunks: DataFrame) -> None:
         """Add chunks known to be unseen."""
@@ -54,9 +61,17 @@ class ChunkStore:
         self.add(self.unseen(chunks))
 
 
-def only_new(chunks: DataFrame, stored: DataFrame) -> DataFrame:
-    """Chunks whose id is not among the stored ones; only ids are compared."""
-    return chunks.join(stored.select("chunk_id"), "chunk_id", "left_anti").select(*chunks.columns)
+def only_new(chunks: DataFrame, stored: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """Chunks whose id is not among the stored ones; only ids are compared.
+
+    The new ids are counted first.  A few of them go to the scan of the stored
+    ids, which then needs no shuffle; with more, both sides are joined by id.
+    """
+    ids = chunks.select("chunk_id")
+    known = stored.select("chunk_id")
+    if ids.limit(broadcast_ids + 1).count() <= broadcast_ids:
+        known = F.broadcast(known.join(F.broadcast(ids), "chunk_id", "left_semi").distinct())
+    return chunks.join(known, "chunk_id", "left_anti").select(*chunks.columns)
 
 
 def merged(chunks: DataFrame, stored: DataFrame) -> DataFrame:

@@ -20,19 +20,20 @@ def validate_columns(df: DataFrame) -> None:
         raise ValueError(f"missing required input columns: {missing}")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Comma-separated files with a header and quoted multi-line texts.
 
     All columns are strings: identifiers such as ``0704.0010`` keep their
     zeros.  Every file's header is checked against the first one.  A file with
     multi-line texts cannot be split, so a large snapshot should come as many
-    files; the tables made from it are Parquet and split freely.
+    files, or with ``multi_line=False`` when no text holds a line break; the
+    tables made from it are Parquet and split freely.
     """
     rows = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)

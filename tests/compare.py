@@ -44,6 +44,16 @@ def difference(got_columns, got, want_columns, want) -> str | None:
     return None
 
 
+SPARK_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_difference(df, description) -> str | None:
+    """Columns whose types differ between the engines, or None."""
+    want = {d[0]: str(d[1]) for d in description}
+    bad = [(n, t, want[n]) for n, t in df.dtypes if SPARK_TYPES.get(t, t) != want[n]]
+    return f"types {bad}" if bad else None
+
+
 def main() -> None:
     sys.path.insert(0, str(ROOT))
     from pyspark.sql import SparkSession
@@ -74,6 +84,7 @@ def main() -> None:
                 result = con.execute(oracles[name])
                 columns = [d[0] for d in result.description]
                 diff = difference(df.columns, got, columns, result.fetchall())
+                diff = diff or type_difference(df, result.description)
             else:
                 diff = None
         except Exception as exc:  # noqa: BLE001

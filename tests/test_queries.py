@@ -1,7 +1,7 @@
 """Registered queries against their SQL, and facts that hold at every scale."""
 
 import pytest
-from compare import difference, duck
+from compare import difference, duck, type_difference
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -23,6 +23,7 @@ def test_query_matches_sql(spark, sf, con, name):
         want = con.execute(ORACLES[name])
         columns = [d[0] for d in want.description]
         assert difference(df.columns, got, columns, want.fetchall()) is None
+        assert type_difference(df, want.description) is None
 
 
 def test_only_the_approximate_search_has_no_sql():
