@@ -10,15 +10,22 @@ from foliograph.functions.text import py_words
 HASH_DIM = 384
 
 
-def _le_bucket(md5_hex: Column) -> Column:
-    """First four digest bytes, read little-endian, modulo the vector width."""
-    little_endian = F.concat(*[F.substring(md5_hex, at, 2) for at in (7, 5, 3, 1)])
-    return (F.conv(little_endian, 16, 10).cast("bigint") % HASH_DIM).cast("int")
+def _digest_head(token: Column | str) -> Column:
+    """First four bytes of the token's md5 digest as a number, first byte highest."""
+    return F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint")
+
+
+def _le_bucket(head: Column) -> Column:
+    """The four bytes read little-endian, modulo the vector width."""
+    swapped = F.lit(0)
+    for at in range(4):
+        swapped += F.shiftright(head, 24 - 8 * at).bitwiseAND(255) * (1 << 8 * at)
+    return (swapped % HASH_DIM).cast("int")
 
 
 def token_bucket(token: Column | str) -> Column:
     """Bucket of one lower-cased token."""
-    return _le_bucket(F.md5(token))
+    return _le_bucket(_digest_head(token))
 
 
 def with_hashed_vector(df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
@@ -32,7 +39,7 @@ def with_hashed_vector(df: DataFrame, text_col: str, out: str = "embedding") ->
     # Hidden columns keep the sorted list from being recomputed per element.
     words = py_words(F.lower(F.col(text_col)))
     runs = df.withColumn(
-        "_buckets", F.sort_array(F.transform(F.transform(words, F.md5), _le_bucket))
+        "_buckets", F.sort_array(F.transform(F.transform(words, _digest_head), _le_bucket))
     ).withColumn(
         "_starts",
         F.when(

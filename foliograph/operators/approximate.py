@@ -16,17 +16,15 @@ from foliograph.functions.vectors import unit
 from foliograph.operators.knn import QUERY_BLOCK, nearest
 
 
-def bucket_keys(df: DataFrame, vector_col: str, model, out: str = "buckets") -> DataFrame:
-    """Add one ``table:bucket`` string per hash table."""
+def bucket_keys(df: DataFrame, vector_col: str, model, width: int, out: str = "buckets") -> DataFrame:
+    """Add one string per hash table: its number and ``width`` hash values."""
     hashed = model.transform(df.withColumn("_vector", array_to_vector(unit(vector_col))))
-    keys = F.transform(
-        "_hashes",
-        lambda h, i: F.concat_ws(":", i, F.get(h, F.lit(0)).cast("bigint")),
-    )
-    tables = [vector_to_array(F.col("_hashes")[i]) for i in range(model.getNumHashTables())]
-    return (
-        hashed.withColumn("_hashes", F.array(*tables)).withColumn(out, keys).drop("_hashes", "_vector")
-    )
+    count = model.getNumHashTables()
+    values = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(count)]
+    tables = [
+        F.concat_ws(":", F.lit(at // width), *values[at : at + width]) for at in range(0, count, width)
+    ]
+    return hashed.withColumn(out, F.array(*tables)).drop("_hashes", "_vector")
 
 
 def candidates(
@@ -34,21 +32,31 @@ def candidates(
     queries: DataFrame,
     *,
     vector_col: str = "embedding",
-    tables: int = 4,
-    bucket_length: float = 0.25,
+    tables: int = 8,
+    width: int = 6,
+    bucket_length: float = 2.0,
     seed: int = 42,
 ) -> DataFrame:
-    """Vectors that share a bucket with at least one query."""
+    """Vectors that share a bucket of at least one table with at least one query.
+
+    A bucket is ``width`` projections taken together.  At the default length
+    each projection of a unit vector counts by its sign only.  More width
+    drops more vectors, more tables keep more of the true neighbours.
+    """
     vectors = vectors.filter(F.col(vector_col).isNotNull())
     lsh = BucketedRandomProjectionLSH(
-        inputCol="_vector", outputCol="_hashes", numHashTables=tables, bucketLength=bucket_length, seed=seed
+        inputCol="_vector",
+        outputCol="_hashes",
+        numHashTables=tables * width,
+        bucketLength=bucket_length,
+        seed=seed,
     )
     model = lsh.fit(vectors.select(array_to_vector(unit(vector_col)).alias("_vector")))
-    wanted = bucket_keys(queries, vector_col, model).select(F.explode("buckets").alias("b")).distinct()
+    wanted = bucket_keys(queries, vector_col, model, width).select(F.explode("buckets").alias("b")).distinct()
     keys = [row["b"] for row in wanted.limit(QUERY_BLOCK * tables + 1).collect()]
     if len(keys) > QUERY_BLOCK * tables:
         return vectors  # too many queries for a filter: search everything
-    hashed = bucket_keys(vectors, vector_col, model)
+    hashed = bucket_keys(vectors, vector_col, model, width)
     return hashed.filter(F.exists("buckets", lambda b: b.isin(keys))).drop("buckets")
 
 

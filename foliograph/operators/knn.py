@@ -144,12 +144,11 @@ class Best:
             self.id_field = batch.schema.field(0)
             text = pa.types.is_string(ids.type) or pa.types.is_large_string(ids.type)
             self.ids = np.full(self.distance.shape, "" if text else 0, dtype=object)
-        ids = np.array(ids.to_pylist(), dtype=object)
         block = _matrix(batch.column(batch.schema.get_field_index(self.vector_col)))
         squares = _squares(block)
         distance = _cosine(self.matrix @ block.T, self.squares[:, None] * squares[None, :])
         limit = self.distance[:, -1]
-        if np.isinf(limit).any() and len(ids) > self.k:
+        if np.isinf(limit).any() and len(block) > self.k:
             limit = np.minimum(limit, np.partition(distance, self.k - 1, axis=1)[:, self.k - 1])
         slack = 0.0 if self.whole_numbers else SLACK
         query, row = np.nonzero(distance <= limit[:, None] + slack)
@@ -164,7 +163,9 @@ class Best:
                 q, r = query[at : at + 16_384], row[at : at + 16_384]
                 dots = (self.matrix[q] * block[r]).sum(axis=1)
                 exact[at : at + 16_384] = _cosine(dots, self.squares[q] * squares[r])
-        self._merge(query, exact, ids[row])
+        seen, at = np.unique(row, return_inverse=True)
+        names = np.array(ids.take(pa.array(seen)).to_pylist(), dtype=object)
+        self._merge(query, exact, names[at])
 
     def _merge(self, query: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
         touched = np.unique(query)

@@ -19,6 +19,9 @@ def test_query_matches_sql(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
     got = [tuple(r) for r in df.collect()]
     assert got
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert slow not in plan
     if name in ORACLES:
         want = con.execute(ORACLES[name])
         columns = [d[0] for d in want.description]
@@ -56,4 +59,4 @@ def test_partitioning_does_not_change_results(spark, sf):
 
 def test_ann_recall_is_reported(spark, sf):
     row = QUERIES["ann_recall"](spark, sf).first()
-    assert row["expected"] == 80 and row["recall"] >= 0.8 and 0 < row["searched_share"] <= 1
+    assert row["expected"] == 80 and row["recall"] >= 0.6 and 0 < row["searched_share"] < 1

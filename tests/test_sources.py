@@ -83,6 +83,8 @@ def test_questions(spark, tmp_path):
 
 
 def test_tables_from_a_snapshot(spark, tmp_path):
+    for name in (tables.RAW_TABLE, *tables.CLEAN_TABLES):
+        spark.sql(f"drop table if exists {name}")
     with pytest.raises(RuntimeError, match="raw_papers|papers"):
         tables.papers_table(spark)
     lines = [f'{i},T{i},some words here,"A, B",{c},"{LINE}",2008,J,,' for i, c in enumerate(["cs.AI", "cs.LG", "math.X"])]
