@@ -53,9 +53,9 @@ def candidates(
     )
     model = lsh.fit(vectors.select(array_to_vector(unit(vector_col)).alias("_vector")))
     wanted = bucket_keys(queries, vector_col, model, width).select(F.explode("buckets").alias("b")).distinct()
-    keys = [row["b"] for row in wanted.limit(QUERY_BLOCK * tables + 1).collect()]
-    if len(keys) > QUERY_BLOCK * tables:
+    if wanted.count() > QUERY_BLOCK * tables:
         return vectors  # too many queries for a filter: search everything
+    keys = [row["b"] for row in wanted.collect()]
     hashed = bucket_keys(vectors, vector_col, model, width)
     return hashed.filter(F.exists("buckets", lambda b: b.isin(keys))).drop("buckets")
 

@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from foliograph.functions.vectors import HASH_DIM
 
 # Queries one task holds at a time: the bound under which they are broadcast.
+# Hashed vectors have a fixed small width, others may be several times wider.
 QUERY_BLOCK = 4096
+HASHED_QUERY_BLOCK = 16_384
 # Vectors in one group of the grid that is used beyond that bound.
 SLICE_ROWS = 20_000
 # Entries of one distance matrix.
@@ -33,18 +35,22 @@ def nearest(
     *,
     id_col: str = "chunk_id",
     vector_col: str = "embedding",
-    query_block: int = QUERY_BLOCK,
+    query_block: int | None = None,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``query_key, <id_col>, distance, rank`` for the ``k`` nearest vectors.
 
     ``queries`` holds distinct ``query_key`` strings with vectors of the same
     form: hashed structs or arrays of numbers.  Equal distances rank by id.
+
     The query side is counted first: up to ``query_block`` queries go to all
     tasks, more are paired with the vectors as a grid of bounded groups.
     """
     if k < 1:
         raise ValueError("k must be positive")
+    if query_block is None:
+        hashed = isinstance(vectors.schema[vector_col].dataType, T.StructType)
+        query_block = HASHED_QUERY_BLOCK if hashed else QUERY_BLOCK
     id_type = vectors.schema[id_col].dataType
     side = vectors.select(id_col, _storage(vectors, vector_col)).filter(F.col(vector_col).isNotNull())
     asked = queries.select("query_key", _storage(queries, vector_col)).filter(
@@ -57,11 +63,12 @@ def nearest(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    head = asked.limit(query_block + 1).toArrow()
-    if head.num_rows <= query_block:
-        found = _broadcast_scan(side, head, k, schema, vector_col)
+    count = asked.count()
+    if count <= query_block:
+        found = _broadcast_scan(side, asked.toArrow(), k, schema, vector_col)
     else:
-        found = _grid_scan(side, asked, k, schema, vector_col, query_block, slice_rows)
+        blocks, slices = -(-count // query_block), max(1, -(-side.count() // slice_rows))
+        found = _grid_scan(side, asked, k, schema, vector_col, blocks, slices)
     order = Window.partitionBy("query_key").orderBy("distance", id_col)
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -80,11 +87,13 @@ def _each(parts: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
 
 
-def _broadcast_scan(side, head: pa.Table, k: int, schema: T.StructType, vector_col: str) -> DataFrame:
+def _broadcast_scan(
+    side: DataFrame, queries: pa.Table, k: int, schema: T.StructType, vector_col: str
+) -> DataFrame:
     spark = side.sparkSession
-    if head.num_rows == 0:
+    if queries.num_rows == 0:
         return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast(head.combine_chunks())
+    shared = spark.sparkContext.broadcast(queries.combine_chunks())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(shared.value, vector_col, k)
@@ -95,10 +104,17 @@ def _broadcast_scan(side, head: pa.Table, k: int, schema: T.StructType, vector_c
     return side.mapInArrow(scan, schema)
 
 
-def _grid_scan(side, asked, k, schema, vector_col, query_block, slice_rows) -> DataFrame:
+def _grid_scan(
+    side: DataFrame,
+    asked: DataFrame,
+    k: int,
+    schema: T.StructType,
+    vector_col: str,
+    blocks: int,
+    slices: int,
+) -> DataFrame:
+    """Each of ``blocks`` query blocks meets each of ``slices`` shares of the vectors."""
     id_col = side.columns[0]
-    blocks = -(-asked.count() // query_block)
-    slices = max(1, -(-side.count() // slice_rows))
     left = side.withColumn("_slice", _share(id_col, slices)).withColumn("_block", _each(blocks))
     right = asked.withColumn("_block", _share("query_key", blocks)).withColumn("_slice", _each(slices))
 

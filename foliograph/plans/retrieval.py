@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foliograph.functions.text import py_strip
-from foliograph.operators.knn import QUERY_BLOCK, nearest
+from foliograph.operators.knn import nearest
 from foliograph.operators.lookup import rows_for
 from foliograph.plans.embed import embed
 from foliograph.session import kept
@@ -51,7 +51,7 @@ def hits_by_text(
     chunks: DataFrame,
     k: int,
     backend: str = "hashed",
-    query_block: int = QUERY_BLOCK,
+    query_block: int | None = None,
     **options,
 ) -> DataFrame:
     """``query_key, hits, error`` per distinct non-blank ``query_text``.

@@ -69,7 +69,7 @@ def only_new(chunks: DataFrame, stored: DataFrame, broadcast_ids: int = BROADCAS
     """
     ids = chunks.select("chunk_id")
     known = stored.select("chunk_id")
-    if ids.limit(broadcast_ids + 1).count() <= broadcast_ids:
+    if ids.count() <= broadcast_ids:
         known = F.broadcast(known.join(F.broadcast(ids), "chunk_id", "left_semi").distinct())
     return chunks.join(known, "chunk_id", "left_anti").select(*chunks.columns)
 
