@@ -5,8 +5,8 @@ from compare import difference, duck, type_difference
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from foliograph.checks.oracles import ORACLES
+from foliograph.checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
