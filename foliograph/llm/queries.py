@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliograph.llm import byte_bpe, packing
+from foliograph.llm import byte_bpe, near_dup, packing
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_near_dup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf, "documents"), shingle=4)
+
+
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -26,6 +30,7 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_near_dup": op3_near_dup,
     "op5_packing": op5_packing,
     "op7_byte_bpe": op7_byte_bpe,
 }
