@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliograph.llm import byte_bpe, near_dup, packing
+from foliograph.llm import byte_bpe, near_dup, packing, substring_dedup
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op3_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), shingle=4)
 
 
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf, "documents"), 35)
+
+
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -31,6 +35,7 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op3_near_dup": op3_near_dup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op7_byte_bpe": op7_byte_bpe,
 }
