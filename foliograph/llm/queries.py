@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliograph.llm import byte_bpe, near_dup, packing, substring_dedup
+from foliograph.llm import byte_bpe, near_dup, packing, quality_classifier, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.line_rules(table(spark, sf, "documents"))
+
+
 def op3_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), shingle=4)
 
@@ -24,6 +28,10 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_classifier.classified(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
@@ -34,9 +42,11 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_near_dup": op3_near_dup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
