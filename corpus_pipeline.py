@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliograph.llm.queries import packing_stage
+from foliograph.llm.stages import (
+    near_dup_stage,
+    packing_stage,
+    quality_classifier_stage,
+    quality_rules_stage,
+    substring_dedup_stage,
+)
 from foliograph.session import scratch_path
 
 STAGES = [
+    ("quality_classifier", quality_classifier_stage),
+    ("quality_rules", quality_rules_stage),
+    ("near_dup", near_dup_stage),
+    ("substring_dedup", substring_dedup_stage),
     ("packing", packing_stage),
 ]
 

@@ -305,3 +305,32 @@ def near_duplicates(
     return whole.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
+
+
+def one_per_group(
+    docs: DataFrame,
+    *,
+    shingle: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each near-duplicate group, with all its columns.
+
+    Rows of one id are one document, of which one row stays.  Rows without an
+    id stay.
+    """
+    judged = near_duplicates(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col)
+    judged = _stored(judged.select(F.col(id_col).alias("_id"), "kept"), "neardup-judged")
+    gone = judged.filter("not kept and _id is not null").select("_id").distinct()
+    twice = judged.filter("_id is not null").groupBy("_id").agg(F.count("*").alias("n")).filter("n > 1").select("_id")
+    match = F.col(f"`{id_col}`").cast("bigint") == F.col("_id")
+
+    def side(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    kept = docs.join(side(gone), match, "left_anti")
+    if twice.isEmpty():
+        return kept
+    again = side(twice)
+    return kept.join(again, match, "left_anti").unionByName(kept.join(again, match, "left_semi").dropDuplicates([id_col]))

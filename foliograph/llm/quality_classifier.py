@@ -16,7 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from foliograph.llm.doc_statistics import NAMES, statistic_batches
+from foliograph.llm.doc_statistics import NAMES, statistic_batches, statistics
+from foliograph.llm.textbytes import text_slices
 from foliograph.session import scratch_path
 
 D = len(NAMES)
@@ -102,6 +103,36 @@ def statistics_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.sparkSession.read.parquet(path)
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, id_col: str, text_col: str):
+    rows = statistics_of(docs, id_col, text_col)
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string")) % folds == 0, F.lit(False))
+    known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")).filter("label in (0, 1)")
+    return rows, held_out, fit(rows.filter(~held_out).join(known, "id"))
+
+
+def good_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    label_col: str = "quality",
+    folds: int = 5,
+    threshold: float = 0.3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that are predicted to be good, with all their columns."""
+    _, _, model = _fitted(docs, labels, label_col, folds, id_col, text_col)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in text_slices(batch.column(at)):
+                good = model.score(statistics(data, offsets)) >= threshold
+                yield batch.slice(first, last - first).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classified(
     docs: DataFrame,
     labels: DataFrame,
@@ -119,10 +150,7 @@ def classified(
     empty one; a null id is not held out; repeated rows are scored alike and
     count as often in fitting; an empty table gives none.
     """
-    rows = statistics_of(docs, id_col, text_col)
-    held_out = F.coalesce(F.crc32(F.col("id").cast("string")) % folds == 0, F.lit(False))
-    known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")).filter("label in (0, 1)")
-    model = fit(rows.filter(~held_out).join(known, "id"))
+    rows, held_out, model = _fitted(docs, labels, label_col, folds, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

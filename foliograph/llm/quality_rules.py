@@ -17,13 +17,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foliograph.session import checkpoint_root
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = "[#*$%&|<>]"
 WINDOW = 8
 
-# Frequent lines up to which they are broadcast (three short columns each).
-BROADCAST_LINES = 200_000
+# Frequent lines, and documents with any, up to which they are broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -123,41 +125,69 @@ def line_rules(
     max_docs: int = 20,
     max_share: float = 0.01,
     min_left: float = 0.5,
-    with_text: bool = False,
 ) -> DataFrame:
     """Per row: id, the base counts, ``base_failed``, ``n_removed_words`` and ``kept``.
 
     ``kept`` is false if the base rules fail, or if fewer than ``min_left`` of
-    the words are left without frequent lines.  ``with_text`` adds
-    ``left_text``, the text without those lines.  A null text has no words and
+    the words are left without frequent lines.  A null text has no words and
     fails; a null host is one host; copies of a row give copies of its result;
     an empty table gives none.
     """
+    rows = _rows(docs.select(F.col(f"`{id_col}`").alias("id"), text_col, host_col), text_col, host_col)
+    out = _judged(rows, base_counts(rows).drop("text"), max_docs, max_share, min_left)
+    return out.select(
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "n_removed_words", "kept",
+    )
+
+
+def _rows(docs: DataFrame, text_col: str, host_col: str, *carried: Column) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("id"),
+    return docs.select(
+        "id",
         F.xxhash64(text).alias("content"),
         F.coalesce(F.concat(F.lit("h"), F.col(f"`{host_col}`").cast("string")), F.lit("")).alias("host"),
         text.alias("text"),
+        *carried,
     )
+
+
+def _judged(rows: DataFrame, measured: DataFrame, max_docs: int, max_share: float, min_left: float) -> DataFrame:
+    """``measured`` with ``n_removed_words``, ``kept`` and ``at``, the numbers of the lines that go."""
+    checkpoint_root(rows.sparkSession)
     frequent = frequent_lines(rows, max_docs, max_share).checkpoint()
-    small = frequent.count() <= BROADCAST_LINES
+    small = frequent.count() <= BROADCAST_ROWS
     hits = _lines(rows).join(F.broadcast(frequent) if small else frequent, ["host", "line"], "left_semi")
     key = F.xxhash64("id", "host").alias("row")
     removed = (
         # Copies of a row meet in one document: each of its lines counts once.
         hits.groupBy(key, "content", "at").agg(F.max("n").alias("n"))
-        .groupBy("row", "content").agg(F.sum("n").alias("n_removed_words"), F.sort_array(F.collect_list("at")).alias("at"))
+        .groupBy("row", "content").agg(F.sum("n").alias("n_removed_words"), F.collect_list("at").alias("at"))
+        .checkpoint()
     )
-    measured = base_counts(rows) if with_text else base_counts(rows).drop("text")
-    out = measured.withColumn("row", F.xxhash64("id", "host")).join(removed, ["row", "content"], "left")
+    side = F.broadcast(removed) if removed.count() <= BROADCAST_ROWS else removed
+    out = measured.withColumn("row", F.xxhash64("id", "host")).join(side, ["row", "content"], "left")
     n_removed = F.coalesce("n_removed_words", F.lit(0)).cast("bigint")
-    columns = [
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        n_removed.alias("n_removed_words"),
-        (~F.col("base_failed") & (F.col("n_words") - n_removed >= min_left * F.col("n_words"))).alias("kept"),
-    ]
-    if with_text:
-        left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("at", i))
-        columns.append(F.when(F.col("at").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("left_text"))
-    return out.select(*columns)
+    left = F.col("n_words") - n_removed >= min_left * F.col("n_words")
+    return out.withColumn("n_removed_words", n_removed).withColumn("kept", ~F.col("base_failed") & left)
+
+
+def kept_documents(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    max_docs: int = 20,
+    max_share: float = 0.01,
+    min_left: float = 0.5,
+) -> DataFrame:
+    """The kept rows of ``docs`` with all their columns, frequent lines cut out of their texts."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("doc")
+    named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{host_col}`").alias("source"), whole)
+    narrow = _rows(named.drop("doc"), "text", "source")
+    rows = _rows(named, "text", "source", F.col("doc"))
+    out = _judged(narrow, base_counts(rows), max_docs, max_share, min_left).filter("kept")
+    lines = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("at", i))
+    text = F.when(F.col("at").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
+    return out.select(*[text.alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in docs.columns])

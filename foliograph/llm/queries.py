@@ -32,10 +32,6 @@ def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality_classifier.classified(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-
-
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.encode_decode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)

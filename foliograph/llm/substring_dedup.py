@@ -29,6 +29,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foliograph.llm.fm_index import FmIndex, matching_statistics
@@ -216,7 +217,7 @@ def _single_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
             )
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *carried: Column) -> DataFrame:
     """``id, tag, text``: the tag tells rows of one id with different texts apart."""
     text = F.col(f"`{text_col}`")
     ids = F.col(f"`{id_col}`").cast("bigint")
@@ -224,6 +225,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.coalesce(ids, F.lit(-(2**63))).alias("id"),
         F.shiftrightunsigned(F.xxhash64(text), 64 - _TAG_BITS).alias("tag"),
         text.alias("text"),
+        *carried,
     )
 
 
@@ -295,7 +297,10 @@ def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFra
 
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) -> Iterator[pa.RecordBatch]:
-    """id, text, runs -> id, n_words, n_removed, and the kept text or its digest."""
+    """id or carried columns, text, runs -> the first, n_words, n_removed, and the kept text or its digest.
+
+    A text that loses nothing is kept as it is.
+    """
     for batch in batches:
         runs = batch.column(2)
         size = np.nan_to_num(runs.value_lengths().to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int64)
@@ -303,49 +308,63 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, with_text: bool) -> Ite
         start, mask = rows.field("start").to_numpy(), rows.field("mask").to_numpy()
         for begin, last, data, offsets in text_slices(batch.column(1)):
             from_, to, first = split_words(data, offsets)
-            gone = np.zeros(len(from_) + 1, np.int64)
             own = slice(int(at[begin]), int(at[last]))
-            base = start[own] + np.repeat(first[:-1], size[begin:last])
-            for bit in range(1 << _COUNT_BITS):
-                hit = base[(mask[own] >> bit) & 1 == 1] + bit
-                np.add.at(gone, hit, 1)
-                np.add.at(gone, hit + length, -1)
-                if not (mask[own] >> bit).any():
-                    break
-            keep = np.cumsum(gone)[:-1] == 0
+            keep = _kept_words(len(from_), start[own] + np.repeat(first[:-1], size[begin:last]), mask[own], length)
             n_words = np.diff(first)
             kept_before = np.concatenate([[0], np.cumsum(keep)])[first]
-            n_kept = np.diff(kept_before)
-            # Kept words joined by one space: each word with a space behind it, the last one dropped.
-            length_of = to[keep] - from_[keep]
-            text = np.full(int((length_of + 1).sum()), 0x20, np.uint8)
-            put = np.cumsum(length_of + 1) - (length_of + 1)
-            text[gather_ranges(put, length_of)] = data[gather_ranges(from_[keep], length_of)]
-            edges = np.concatenate([[0], np.cumsum(length_of + 1)])[kept_before]
-            raw = text.tobytes()
-            joined = [raw[a : max(a, b - 1)] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-            out = [x.decode() for x in joined] if with_text else [sha256(x).hexdigest() for x in joined]
+            n_removed = n_words - np.diff(kept_before)
+            joined = _joined(data, from_[keep], to[keep], kept_before)
+            if with_text:
+                out = pc.if_else(
+                    pa.array(n_removed > 0),
+                    pa.array([x.decode() for x in joined], pa.string()),
+                    batch.column(1).slice(begin, last - begin),
+                )
+            else:
+                out = pa.array([sha256(x).hexdigest() for x in joined], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(begin, last - begin),
-                    pa.array(n_words),
-                    pa.array(n_words - n_kept),
-                    pa.array(out, pa.string()),
-                ],
+                [batch.column(0).slice(begin, last - begin), pa.array(n_words), pa.array(n_removed), out],
                 names=["id", "n_words", "n_removed", "kept"],
             )
 
 
+def _kept_words(n: int, base: np.ndarray, mask: np.ndarray, length: int) -> np.ndarray:
+    gone = np.zeros(n + 1, np.int64)
+    for bit in range(1 << _COUNT_BITS):
+        left = mask >> bit
+        if not left.any():
+            break
+        hit = base[left & 1 == 1] + bit
+        np.add.at(gone, hit, 1)
+        np.add.at(gone, hit + length, -1)
+    return np.cumsum(gone)[:-1] == 0
+
+
+def _joined(data: np.ndarray, from_: np.ndarray, to: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """Kept words of each text with one space between them."""
+    size = to - from_ + 1
+    text = np.full(int(size.sum()), 0x20, np.uint8)
+    put = np.cumsum(size) - size
+    text[gather_ranges(put, size - 1)] = data[gather_ranges(from_, size - 1)]
+    cut = np.concatenate([[0], np.cumsum(size)])[edges].tolist()
+    raw = text.tobytes()
+    return [raw[a : max(a, b - 1)] for a, b in zip(cut[:-1], cut[1:])]
+
+
+def _with_runs(docs: DataFrame, length: int, id_col: str, text_col: str, wide: int, *carried: Column) -> DataFrame:
+    """``id, text, runs`` and what is carried, per row."""
+    if not GRAM < length < GRAM + (1 << _COUNT_BITS) - 2:
+        raise ValueError(f"windows of {GRAM + 1} to {GRAM + (1 << _COUNT_BITS) - 3} words can be searched")
+    runs = _stored(repeated_windows(_keyed(docs, id_col, text_col), length, wide), "substring-runs")
+    few = runs.agg(F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0] <= BROADCAST_ROWS
+    side = F.broadcast(runs) if few else runs.hint("shuffle_hash")
+    return _keyed(docs, id_col, text_col, *carried).join(side, ["id", "tag"], "left")
+
+
 def without_repeats(
-    docs: DataFrame,
-    length: int = 35,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    with_text: bool = False,
-    wide: int = WIDE,
+    docs: DataFrame, length: int = 35, *, id_col: str = "doc_id", text_col: str = "text", wide: int = WIDE
 ) -> DataFrame:
-    """``<id_col>, n_words, n_removed`` and ``kept_text`` or ``kept_sha256`` per row.
+    """``<id_col>, n_words, n_removed, kept_sha256`` (kept words joined by one space) per row.
 
     Every word inside a window of ``length`` words that starts in a second
     place goes, in all its places; windows are judged on the input.  Null and
@@ -353,15 +372,23 @@ def without_repeats(
     places of their windows.  Ids are integers; a null id stays null.  Tables
     without rows give none; other columns are not looked at.
     """
-    keyed = _keyed(docs, id_col, text_col)
-    runs = _stored(repeated_windows(keyed, length, wide), "substring-runs")
-    few = runs.agg(F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0] <= BROADCAST_ROWS
-    side = F.broadcast(runs) if few else runs.hint("shuffle_hash")
-    rows = keyed.join(side, ["id", "tag"], "left").select("id", "text", "runs")
+    rows = _with_runs(docs, length, id_col, text_col, wide).select("id", "text", "runs")
     cut = rows.mapInArrow(
-        lambda b: _cut(b, length, with_text), "id bigint, n_words bigint, n_removed bigint, kept string"
+        lambda b: _cut(b, length, False), "id bigint, n_words bigint, n_removed bigint, kept string"
     )
     ids = F.when(F.col("id") != F.lit(-(2**63)), F.col("id"))
-    return cut.select(
-        ids.alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_text" if with_text else "kept_sha256")
+    return cut.select(ids.alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+def cut_documents(
+    docs: DataFrame, length: int = 35, *, id_col: str = "doc_id", text_col: str = "text", wide: int = WIDE
+) -> DataFrame:
+    """All rows and columns of ``docs``; texts with repeats become their kept words joined by one space."""
+    others = [c for c in docs.columns if c != text_col]
+    doc = F.struct(*[F.col(f"`{c}`") for c in others]).alias("doc")
+    rows = _with_runs(docs, length, id_col, text_col, wide, doc).select("doc", "text", "runs")
+    kind = rows.schema["doc"].dataType.simpleString()
+    cut = rows.mapInArrow(
+        lambda b: _cut(b, length, True), f"id {kind}, n_words bigint, n_removed bigint, kept string"
     )
+    return cut.select(*[F.col("kept").alias(c) if c == text_col else F.col("id").getField(c).alias(c) for c in docs.columns])
