@@ -3,9 +3,22 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from foliograph.llm import byte_bpe, near_dup, packing, quality_classifier, quality_rules, substring_dedup
+from foliograph.llm import (
+    ball_tree,
+    byte_bpe,
+    chat_tree,
+    license_scan,
+    near_dup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+)
+from foliograph.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +29,15 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.line_rules(table(spark, sf, "documents"))
 
 
+def op2_chat_tree(spark: SparkSession, sf: str) -> DataFrame:
+    own = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", own), (-1, 1, "assistant", own)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    rows = table(spark, sf, "conversations").select(*extra.columns).unionByName(extra)
+    return chat_tree.read_back(*chat_tree.prefix_trees(rows))
+
+
 def op3_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), shingle=4)
 
@@ -28,10 +50,19 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality_classifier.classified(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = ball_tree.scaled(table(spark, sf, "embeddings"), 256)
+    return ball_tree.top_inner_products(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
+
+
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.encode_decode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
@@ -39,10 +70,12 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_chat_tree": op2_chat_tree,
     "op3_near_dup": op3_near_dup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
+    "op6_top_k": op6_top_k,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_license_scan": op8_license_scan,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLES: dict[str, str] = {}
