@@ -10,6 +10,7 @@ from foliograph.llm import (
     byte_bpe,
     chat_tree,
     license_scan,
+    lm_score,
     near_dup,
     packing,
     quality_classifier,
@@ -54,6 +55,10 @@ def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_score.scored(table(spark, sf, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality_classifier.classified(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -77,5 +82,6 @@ QUERIES = {
     "op6_top_k": op6_top_k,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_license_scan": op8_license_scan,
+    "op9_lm_score": op9_lm_score,
     "op10_quality_classifier": op10_quality_classifier,
 }
