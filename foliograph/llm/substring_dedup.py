@@ -19,7 +19,7 @@ equal its windows and no text is searched in every shard:
   one index.  Its windows are dealt one by one by their own content and counted.
 
 Stretches and intervals are short rows of numbers; each text is read three
-times, and moved at most once, together with its removals.
+times and moved twice: to where its stretches are wanted, and to its removals.
 """
 
 from __future__ import annotations
@@ -40,8 +40,6 @@ from foliograph.session import scratch_path
 GRAM = 8
 SHARD_WORDS = 400_000
 WIDE = 10_000
-# Stretches, and documents with removals, up to which their side is broadcast.
-BROADCAST_ROWS = 300_000
 _TAG_BITS, _START_BITS, _COUNT_BITS = 20, 37, 6
 
 
@@ -258,14 +256,11 @@ def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFra
         windows_of.cast("bigint").alias("count"),
     )
     wanted = search.groupBy("id", "tag").agg(
-        F.collect_list(F.struct("anchor", "content", "start", "count")).alias("stretches"), F.count("*").alias("n")
+        F.collect_list(F.struct("anchor", "content", "start", "count")).alias("stretches")
     )
-    wanted = _stored(wanted, "substring-wanted")
-    few = wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] <= BROADCAST_ROWS
-    side = wanted.select("id", "tag", "stretches")
     # Equal rows of one id give their stretches more than once.
     content = (
-        keyed.join(F.broadcast(side) if few else side.hint("shuffle_hash"), ["id", "tag"])
+        keyed.join(wanted.hint("shuffle_hash"), ["id", "tag"])
         .select("text", "stretches")
         .mapInArrow(lambda b: _stretch_words(b, length), "anchor bigint, content bigint, words binary")
     )
@@ -356,9 +351,7 @@ def _with_runs(docs: DataFrame, length: int, id_col: str, text_col: str, wide: i
     if not GRAM < length < GRAM + (1 << _COUNT_BITS) - 2:
         raise ValueError(f"windows of {GRAM + 1} to {GRAM + (1 << _COUNT_BITS) - 3} words can be searched")
     runs = _stored(repeated_windows(_keyed(docs, id_col, text_col), length, wide), "substring-runs")
-    few = runs.agg(F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0] <= BROADCAST_ROWS
-    side = F.broadcast(runs) if few else runs.hint("shuffle_hash")
-    return _keyed(docs, id_col, text_col, *carried).join(side, ["id", "tag"], "left")
+    return _keyed(docs, id_col, text_col, *carried).join(runs.hint("shuffle_hash"), ["id", "tag"], "left")
 
 
 def without_repeats(
