@@ -273,7 +273,7 @@ _step("centroid", ("dimension",), """
 
 
 def _sample(limit: str) -> str:
-    columns = ", ".join(f"coalesce({c.strip()}, chr(1))" for c in _RAW_COLUMNS.split(","))
+    columns = ", ".join(f"coalesce(length({c.strip()}) || ':' || {c.strip()}, '-')" for c in _RAW_COLUMNS.split(","))
     return _query(
         f"""select {_RAW_COLUMNS} from raw
         qualify row_number() over (order by md5(concat_ws('|', '{SEED}', {columns}))) <= {limit}""",
@@ -438,7 +438,7 @@ ORACLES: dict[str, str] = {
             from (select question_id,
                          count(*) filter (contains(lower(answer), lower(word))) as hits
                   from (select question_id, answer,
-                               unnest(list_slice(regexp_extract_all(question, '\S+'), 1, 10)) as word
+                               unnest(list_distinct(regexp_extract_all(question, '\S+'))) as word
                         from answer)
                   group by question_id)""",
         "answer",

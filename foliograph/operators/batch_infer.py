@@ -29,7 +29,8 @@ def call_with_retry(
     """One request; failures wait ``backoff``, twice, three times that, then raise.
 
     The model returns one ``{"index": i, "embedding": [...]}`` per text, in any
-    order; a short or long answer is an error and is not retried.
+    order, or no index at all for answers in the order of the texts.  Anything
+    else is an error and is not retried.
     """
     for attempt in range(1, attempts + 1):
         try:
@@ -41,7 +42,12 @@ def call_with_retry(
             time.sleep(backoff * attempt)
     if len(items) != len(texts):
         raise RuntimeError(f"model returned {len(items)} embeddings for {len(texts)} texts")
-    return [item["embedding"] for item in sorted(items, key=lambda item: item.get("index", 0))]
+    if not any("index" in item for item in items):
+        return [item["embedding"] for item in items]
+    placed = {item.get("index"): item["embedding"] for item in items}
+    if placed.keys() != set(range(len(texts))):
+        raise RuntimeError(f"model returned wrong indexes for {len(texts)} texts")
+    return [placed[i] for i in range(len(texts))]
 
 
 def batch_infer(

@@ -219,7 +219,11 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
         row = np.repeat(np.arange(n), np.diff(idx.offsets.to_numpy()))
         cell = row * HASH_DIM + idx.flatten().to_numpy()
         return np.bincount(cell, weights=tf.flatten().to_numpy(), minlength=n * HASH_DIM).reshape(n, HASH_DIM)
-    values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    widths = np.unique(vectors.value_lengths().to_numpy(zero_copy_only=False))
+    flat = vectors.flatten()
+    if len(widths) > 1 or flat.null_count:
+        raise ValueError(f"vectors of widths {widths.tolist()} with {flat.null_count} null components")
+    values = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return values.reshape(n, -1) if n else values.reshape(0, 0)
 
 

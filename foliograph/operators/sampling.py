@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows that may be ordered through one task.
-SMALL = 100_000
 _DIGITS = 4  # hex digits settled per counting pass: at most 65,536 counts
 
 
 def sample_key(df: DataFrame, seed: int) -> Column:
-    """md5 over the seed and all columns: rows share a key only if they are equal."""
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x01")) for c in df.columns]
+    """md5 over the seed and all columns, each with its length: only equal rows share a key."""
+    texts = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
@@ -20,7 +19,6 @@ def sample_rows(
     size: int | None = None,
     frac: float | None = None,
     seed: int = 42,
-    small: int = SMALL,
 ) -> DataFrame:
     """``size`` rows, or ``frac`` of the row count rounded half to even.
 
@@ -32,26 +30,31 @@ def sample_rows(
     if frac is not None:
         if not 0 < frac <= 1:
             raise ValueError("sample fraction must be in the range (0, 1]")
-        return _smallest(df, round(frac * df.count()), seed, small)
+        return _smallest(df, round(frac * df.count()), seed)
     if size is not None:
         if size <= 0:
             raise ValueError("sample size must be a positive integer")
-        return _smallest(df, size, seed, small)
+        return _smallest(df, size, seed)
     return df
 
 
-def _smallest(df: DataFrame, n: int, seed: int, small: int) -> DataFrame:
+def _smallest(df: DataFrame, n: int, seed: int) -> DataFrame:
+    """Finds the key prefix that holds the n-th row by counting rows per prefix.
+
+    Whatever lies before it is in.  The prefix grows until its rows fit or it
+    is a whole key: rows that share that are copies of one row, which is
+    repeated as often as needed.  No row is ordered or moved.
+    """
     columns = [f"`{c}`" for c in df.columns]
+    if n == 0:
+        return df.limit(0)
     keyed = df.withColumn("_key", sample_key(df, seed))
-    if n <= small:
-        return keyed.orderBy("_key", *columns).limit(n).select(*columns)
-
-    # Find the key prefix that holds the n-th row by counting rows per prefix.
-    # Everything before it is in; only its own few rows need an order.
-    prefix, need, held = "", n, keyed
+    keys = keyed.select("_key")
+    prefix, need = "", n
     for width in range(_DIGITS, 32 + 1, _DIGITS):
         counts = (
-            held.groupBy(F.substring("_key", 1, width).alias("p"))
+            keys.filter(F.col("_key").startswith(prefix))
+            .groupBy(F.substring("_key", 1, width).alias("p"))
             .agg(F.count("*").alias("c"))
             .orderBy("p")
             .collect()
@@ -63,17 +66,11 @@ def _smallest(df: DataFrame, n: int, seed: int, small: int) -> DataFrame:
         else:
             return df  # fewer rows than asked for
         prefix, inside = row["p"], row["c"]
-        held = keyed.filter(F.col("_key").startswith(prefix))
-        if need == inside or inside <= small:
+        if need == inside:
             break
-    before = keyed.filter(F.substring("_key", 1, len(prefix)) < prefix).select(*columns)
+    head = F.substring("_key", 1, len(prefix))
+    before = keyed.filter(head <= prefix if need == inside else head < prefix).select(*columns)
     if need == inside:
-        rest = held.select(*columns)
-    elif need <= small:
-        rest = held.orderBy("_key", *columns).limit(need).select(*columns)
-    else:
-        # The whole key is settled and many rows still share it: they are
-        # copies of one row, which is repeated as often as needed.
-        copy = held.limit(1).select(F.struct(*columns).alias("r")).scalar()
-        rest = df.sparkSession.range(need).select(copy.alias("r")).select("r.*")
-    return before.unionByName(rest)
+        return before
+    copy = keyed.filter(F.col("_key") == prefix).limit(1).select(F.struct(*columns).alias("r")).scalar()
+    return before.unionByName(df.sparkSession.range(need).select(copy.alias("r")).select("r.*"))

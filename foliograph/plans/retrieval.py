@@ -61,8 +61,9 @@ def hits_by_text(
     metadata are fetched for the winners.
     """
     distinct = (
-        texts.select(F.md5("query_text").alias("query_key"), "query_text")
-        .filter(py_strip("query_text") != "")
+        texts.select(py_strip("query_text").alias("query_text"))
+        .filter(F.col("query_text") != "")
+        .select(F.md5("query_text").alias("query_key"), "query_text")
         .dropDuplicates(["query_key"])
     )
     asked = embed(distinct, "query_text", backend, **options)
@@ -81,6 +82,8 @@ def hits_by_text(
         .groupBy("query_key")
         .agg(F.sort_array(F.collect_list(_hit())).alias("hits"))
     )
+    if backend.lower() == "hashed":
+        return hits.withColumn("error", F.lit(None).cast("string"))
     failed = asked.select("query_key", "error").filter(F.col("error").isNotNull())
     return hits.join(failed, "query_key", "full")
 
@@ -91,7 +94,7 @@ def with_hits(queries: DataFrame, chunks: DataFrame, k: int, **options) -> DataF
     Each query row carries its own short list, so everything after this is
     row-local, however many rows ask the same text.
     """
-    keyed = queries.withColumn("query_key", F.md5("query_text"))
+    keyed = queries.withColumn("query_key", F.md5(py_strip("query_text")))
     found = hits_by_text(queries, chunks, k, **options)
     empty = F.array().cast(found.schema["hits"].dataType)
     return (

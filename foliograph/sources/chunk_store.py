@@ -71,7 +71,24 @@ def only_new(chunks: DataFrame, stored: DataFrame, broadcast_ids: int = BROADCAS
     known = stored.select("chunk_id")
     if ids.count() <= broadcast_ids:
         known = F.broadcast(known.join(F.broadcast(ids), "chunk_id", "left_semi").distinct())
-    return chunks.join(known, "chunk_id", "left_anti").select(*chunks.columns)
+    return _one_per_id(chunks.join(known, "chunk_id", "left_anti").select(*chunks.columns))
+
+
+def _one_per_id(chunks: DataFrame) -> DataFrame:
+    """Of chunks with one id the first by their other columns in column order.
+
+    Only ids that occur twice are shuffled with their texts.
+    """
+    twice = chunks.groupBy("chunk_id").agg(F.count("*").alias("n")).filter("n > 1").select("chunk_id")
+    if twice.isEmpty():
+        return chunks
+    others = [c for c in chunks.columns if c != "chunk_id"]
+    first = (
+        chunks.join(twice, "chunk_id", "left_semi")
+        .groupBy("chunk_id").agg(F.min(F.struct(*others)).alias("first"))
+        .select("chunk_id", "first.*").select(*chunks.columns)
+    )
+    return chunks.join(twice, "chunk_id", "left_anti").unionByName(first)
 
 
 def merged(chunks: DataFrame, stored: DataFrame) -> DataFrame:

@@ -13,9 +13,9 @@ QUESTION_SCHEMA = (
 def read_questions(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
     """A question list: one JSON array per file, or one object per line.
 
-    An array file is read by one task; a long list should use lines.
+    A broken file or an id that is no integer is an error.  An array file is read by one task; a long list should use lines.
     """
-    return spark.read.schema(QUESTION_SCHEMA).option("multiLine", not json_lines).json(path)
+    return spark.read.schema(QUESTION_SCHEMA).option("multiLine", not json_lines).option("mode", "FAILFAST").json(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -113,3 +113,15 @@ def test_back_ends(spark):
         df, "t", "external", factory=lambda: lambda ts: [{"embedding": [3, 4]} for _ in ts], normalize=True
     )
     assert unit.first()["embedding"] == [0.6, 0.8]
+
+
+@pytest.mark.parametrize("index", [[0, 0], [0, None], [1, 2]])
+def test_wrong_indexes_are_an_error(index):
+    items = [{"index": i, "embedding": [1.0]} if i is not None else {"embedding": [1.0]} for i in index]
+    with pytest.raises(RuntimeError, match="wrong indexes"):
+        b.call_with_retry(lambda texts: items, ["a", "b"])
+
+
+def test_answers_without_index_keep_their_order():
+    items = [{"embedding": [2.0]}, {"embedding": [1.0]}]
+    assert b.call_with_retry(lambda texts: items, ["a", "b"]) == [[2.0], [1.0]]

@@ -135,3 +135,13 @@ def test_approximate_search_returns_true_distances(spark):
     near = collected(approximate_nearest(vectors, queries, 5, id_col="id"))
     for key, hits in near.items():
         assert all(exact[key][i] == d for d, i in hits)
+
+
+@pytest.mark.parametrize("vectors", [[[1.0, 2.0], [1.0]], [[1.0, None]]])
+def test_uneven_vectors_are_an_error(vectors):
+    import pyarrow as pa
+
+    from foliograph.operators.knn import _matrix
+
+    with pytest.raises(ValueError):
+        _matrix(pa.array(vectors, pa.list_(pa.float64())))

@@ -50,3 +50,10 @@ def test_new_ids_both_ways(spark):
         assert sorted(r["v"] for r in got.collect()) == list(range(50, 80))
     few = only_new(chunks, stored)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in few and "BroadcastHashJoin" in few
+
+
+def test_copies_of_an_id_in_one_batch_are_stored_once(spark):
+    chunks = spark.createDataFrame([("a:0", "y"), ("a:0", "x"), ("b:0", "z"), ("c:0", "w")], "chunk_id string, chunk_text string")
+    stored = chunks.filter("chunk_id = 'c:0'")
+    got = sorted(map(tuple, only_new(chunks, stored).collect()))
+    assert got == [("a:0", "x"), ("b:0", "z")]

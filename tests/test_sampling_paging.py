@@ -1,9 +1,11 @@
-"""Exact samples and pages, small and large ways alike."""
+"""Exact samples and pages."""
+
+import collections
 
 import pytest
 from pyspark.sql import functions as F
 
-from foliograph.operators.sampling import sample_rows
+from foliograph.operators.sampling import sample_key, sample_rows
 from foliograph.plans.listing import list_papers, with_page_count
 
 
@@ -36,17 +38,26 @@ def test_same_seed_same_rows(table):
 
 
 @pytest.mark.parametrize("n", [1, 60, 250, 499, 500, 600])
-def test_large_way_takes_the_same_rows(table, n):
-    assert rows(sample_rows(table, size=n, small=0)) == rows(sample_rows(table, size=n))
+def test_rows_of_the_smallest_keys(table, n):
+    want = table.orderBy(sample_key(table, 42)).limit(n)
+    assert rows(sample_rows(table, size=n)) == rows(want)
 
 
-def test_copies_beyond_the_small_bound(spark):
+def test_copies_are_taken_as_often_as_they_exist(spark):
     copies = spark.range(400).select(F.lit("same").alias("t"), F.lit(None).cast("int").alias("v"))
     mixed = copies.unionByName(spark.range(200).select(F.concat(F.lit("r"), "id").alias("t"), F.lit(1).alias("v")))
     for n in (1, 150, 300, 450, 600):
-        large = rows(sample_rows(mixed, size=n, small=5))
-        assert len(large) == n
-        assert sorted(large, key=repr) == sorted(rows(sample_rows(mixed, size=n)), key=repr)
+        got = collections.Counter(map(tuple, sample_rows(mixed, size=n).collect()))
+        assert sum(got.values()) == n and got[("same", None)] <= 400
+        assert all(v == 1 for k, v in got.items() if k[0] != "same")
+
+
+def test_different_rows_never_share_a_key(spark):
+    rows_ = [("a|b", "c")] * 10 + [("a", "b|c")] * 10
+    df = spark.createDataFrame(rows_, "x string, y string")
+    for n in range(1, 21):
+        got = collections.Counter(map(tuple, sample_rows(df, size=n).collect()))
+        assert sum(got.values()) == n and max(got.values()) <= 10
 
 
 @pytest.mark.parametrize(
