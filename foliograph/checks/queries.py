@@ -37,6 +37,11 @@ def _papers(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_papers(_raw(spark, sf))
 
 
+def _narrow_papers(spark: SparkSession, sf: str) -> DataFrame:
+    """The papers for statistics that read no abstract."""
+    return clean.clean_papers(_raw(spark, sf), abstracts=False)
+
+
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.prepare_papers(_papers(spark, sf))
 
@@ -69,7 +74,7 @@ def dedup(spark, sf):
 
 
 def submitted_year(spark, sf):
-    rows = clean.with_submitted_year(clean.deduplicated(_raw(spark, sf)))
+    rows = clean.with_submitted_year(clean.deduplicated(_raw(spark, sf), abstracts=False))
     return rows.select("arxiv_id", "submitted", "submitted_year")
 
 
@@ -79,7 +84,7 @@ def abstract_words(spark, sf):
 
 
 def author_count(spark, sf):
-    rows = clean.with_author_count(clean.deduplicated(_raw(spark, sf)))
+    rows = clean.with_author_count(clean.deduplicated(_raw(spark, sf), abstracts=False))
     return rows.select("arxiv_id", F.col("author_count").cast("bigint").alias("author_count"))
 
 
@@ -90,11 +95,11 @@ def papers_clean(spark, sf):
 
 
 def _statistic(function: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf: function(_papers(spark, sf))
+    return lambda spark, sf: function(_narrow_papers(spark, sf))
 
 
 def author_category(spark, sf):
-    return stats.author_categories(_papers(spark, sf)).select("author", "category", "category_count")
+    return stats.author_categories(_narrow_papers(spark, sf)).select("author", "category", "category_count")
 
 
 def paper_listing(spark, sf):

@@ -69,7 +69,7 @@ def trimmed(raw: DataFrame) -> DataFrame:
     ).filter(F.col("arxiv_id") != "")
 
 
-def deduplicated(raw: DataFrame) -> DataFrame:
+def deduplicated(raw: DataFrame, abstracts: bool = True) -> DataFrame:
     """One row per id: latest ``submitted``, then latest ``updated``, then first title.
 
     Dates compare as text.  Incomplete rows leave before the ranking, so they
@@ -77,14 +77,20 @@ def deduplicated(raw: DataFrame) -> DataFrame:
     columns, short ones first, which makes the choice independent of
     partitioning.  ``row_number = 1`` is limited inside each map task before
     the shuffle, so an id with very many copies sends one row per task.
+
+    The abstract is the last column to settle a tie: rows that reach it are
+    equal in all others.  Without ``abstracts`` it is neither ranked by nor
+    returned, so no text is shuffled, and the other columns are the same.
     """
     complete = trimmed(raw)
     for name in _MANDATORY:
         complete = complete.filter(F.col(name) != "")
-    latest = Window.partitionBy("arxiv_id").orderBy(
-        F.desc("submitted"), F.desc("updated"), "title",
-        "primary_category", "journal_ref", "doi", "comment", "authors", "abstract",
-    )
+    ties = ["title", "primary_category", "journal_ref", "doi", "comment", "authors"]
+    if abstracts:
+        ties.append("abstract")
+    else:
+        complete = complete.drop("abstract")
+    latest = Window.partitionBy("arxiv_id").orderBy(F.desc("submitted"), F.desc("updated"), *ties)
     return complete.withColumn("rn", F.row_number().over(latest)).filter("rn = 1").drop("rn")
 
 
@@ -101,17 +107,22 @@ def with_author_count(unique: DataFrame) -> DataFrame:
     return unique.withColumn("author_count", F.size(comma_names("authors"))).filter("author_count > 0")
 
 
-def clean_papers(raw: DataFrame) -> DataFrame:
-    """The ``papers`` table: the only shuffle is the deduplication."""
-    rows = with_author_count(with_submitted_year(deduplicated(raw)))
+def clean_papers(raw: DataFrame, abstracts: bool = True) -> DataFrame:
+    """The ``papers`` table: the only shuffle is the deduplication.
+
+    Without ``abstracts`` the same papers come without the two columns that
+    need the text, for statistics that use neither.
+    """
+    rows = with_author_count(with_submitted_year(deduplicated(raw, abstracts)))
+    text = ["abstract", word_count("abstract").alias("abstract_word_count")] if abstracts else []
     return rows.select(
         "arxiv_id",
         "title",
-        "abstract",
+        *text[:1],
         "authors",
         "primary_category",
         "submitted",
-        word_count("abstract").alias("abstract_word_count"),
+        *text[1:],
         "author_count",
         sql_trim(before_first("authors", ",")).alias("first_author"),
         "submitted_year",

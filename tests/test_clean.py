@@ -180,3 +180,26 @@ def test_author_stats_equal_the_windowed_form(spark, sf):
     )
     want = totals.join(tops, "author")
     assert sorted(map(tuple, want.collect())) == sorted(map(tuple, stats.author_stats(rows).collect()))
+
+
+def test_statistics_shuffle_no_abstract(spark, sf):
+    from foliograph.checks.queries import QUERIES
+
+    def above_deduplication(name):
+        """Plans print top down: what comes after the last exchange is below it."""
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        return plan[: plan.rindex("Exchange hashpartitioning(arxiv_id")]
+
+    assert "abstract#" not in above_deduplication("category_stats")
+    assert "abstract#" in above_deduplication("papers_clean")
+
+
+def test_papers_without_abstracts_are_the_same(spark):
+    raw = clean.raw_papers(records(
+        spark, {"id": "x", "abstract": "b"}, {"id": "x", "abstract": "a b"}, {"id": "x", "title": "S"},
+        {"id": "y", "abstract": " "}, {"id": "z", "abstract": None}, {"id": "w"}, {"id": "w"},
+    ))
+    narrow = clean.clean_papers(raw, abstracts=False)
+    whole = clean.clean_papers(raw).select(narrow.columns)
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, whole.collect()))
+    assert "abstract" not in narrow.columns and narrow.count() == 2
