@@ -17,6 +17,7 @@ from foliograph.checks.queries import (
     SAMPLE_SIZE,
     SEED,
 )
+from foliograph.operators.approximate import BITS, DEPTH
 
 _RAW_COLUMNS = (
     "arxiv_id, title, abstract, authors, categories, primary_category, "
@@ -271,6 +272,39 @@ _step("dimension", (), """
 _step("centroid", ("dimension",), """
     select label, position, avg(x) as x from dimension group by all""")
 
+_step("pair", ("dimension", "centroid"), """
+    select c.label, d.vec_id,
+           1 - sum(c.x * d.x) / sqrt(sum(c.x * c.x) * sum(d.x * d.x)) as distance
+    from centroid c join dimension d using (position)
+    group by c.label, d.vec_id""")
+
+_step("plane", ("dimension",), f"""
+    select plane, position,
+           case when md5(plane || ':' || (position - 1)) < '8' then 1 else -1 end as side
+    from range({BITS}) planes(plane), (select distinct position from dimension)""")
+
+_step("vector_bit", ("dimension", "plane"), """
+    select vec_id, plane, sum(x * side) > 0 as bit
+    from dimension join plane using (position) group by vec_id, plane""")
+
+_step("query_bit", ("centroid", "plane"), """
+    select label, plane, sum(x * side) > 0 as bit
+    from centroid join plane using (position) group by label, plane""")
+
+_step("candidate", ("vector_bit", "query_bit"), f"""
+    select label, vec_id
+    from (select q.label, v.vec_id, count(*) filter (q.bit <> v.bit) as differing
+          from query_bit q join vector_bit v using (plane) group by q.label, v.vec_id)
+    qualify row_number() over (partition by label order by differing, vec_id) <= {DEPTH}""")
+
+_step("nearest_found", ("pair", "candidate"), f"""
+    select label, vec_id from pair join candidate using (label, vec_id)
+    qualify row_number() over (partition by label order by distance, vec_id) <= {NEIGHBOURS}""")
+
+_step("nearest_true", ("pair",), f"""
+    select label, vec_id from pair
+    qualify row_number() over (partition by label order by distance, vec_id) <= {NEIGHBOURS}""")
+
 
 def _sample(limit: str) -> str:
     columns = ", ".join(f"coalesce(length({c.strip()}) || ':' || {c.strip()}, '-')" for c in _RAW_COLUMNS.split(","))
@@ -416,6 +450,16 @@ ORACLES: dict[str, str] = {
             where rank <= {NEIGHBOURS}""",
         "centroid",
     ),
+    "ann_recall": _query(
+        """select expected, found, round(found / expected, 6) as recall,
+                  round(searched / pairs, 6) as searched_share
+           from (select (select count(*) from nearest_true) as expected,
+                        (select count(*) from nearest_true join nearest_found using (label, vec_id)) as found,
+                        (select count(*) from candidate) as searched,
+                        (select count(*) from pair) as pairs)""",
+        "nearest_true",
+        "nearest_found",
+    ),
     "query_text": _query("select question_id, query_text from asked", "asked"),
     "knn_text": _query(
         """select question_id, rank, chunk_id, chunk_text, arxiv_id, title, category, year,

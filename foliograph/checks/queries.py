@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliograph.functions.text import py_words, word_count
 from foliograph.functions.vectors import postings, unit
-from foliograph.operators.approximate import approximate_nearest, candidates
+from foliograph.operators.approximate import approximate_nearest, candidates, with_sketch
 from foliograph.operators.knn import nearest
 from foliograph.operators.sampling import sample_rows
 from foliograph.plans import adapter, clean, index, qa, retrieval, stats, summaries
@@ -181,18 +181,22 @@ def knn_vectors(spark, sf):
 
 
 def ann_recall(spark, sf):
-    """Recall of the approximate search and the share of vectors it looked at."""
+    """Recall of the approximate search and the share of all pairs it measured exactly."""
     vectors = adapter.vectors(spark, sf)
     centroids = _centroids(vectors)
+    path = scratch_path(spark, "sketches")
+    with_sketch(vectors.select("vec_id", "embedding")).write.parquet(path)
+    sketched = spark.read.parquet(path)
     exact = nearest(vectors, centroids, NEIGHBOURS, id_col="vec_id").select("query_key", "vec_id")
-    near = approximate_nearest(vectors, centroids, NEIGHBOURS, id_col="vec_id").select("query_key", "vec_id")
+    near = approximate_nearest(sketched, centroids, NEIGHBOURS, id_col="vec_id").select("query_key", "vec_id")
     found = exact.join(near, ["query_key", "vec_id"], "left_semi").agg(F.count("*")).scalar()
-    searched = candidates(vectors, centroids).agg(F.count("*")).scalar()
+    searched = candidates(sketched, centroids, id_col="vec_id").agg(F.count("*")).scalar()
+    pairs = vectors.agg(F.count("*")).scalar() * centroids.agg(F.count("*")).scalar()
     return exact.agg(F.count("*").alias("expected")).select(
         "expected",
         found.alias("found"),
         F.round(found / F.col("expected"), 6).alias("recall"),
-        F.round(searched / vectors.agg(F.count("*")).scalar(), 6).alias("searched_share"),
+        F.round(searched / pairs, 6).alias("searched_share"),
     )
 
 

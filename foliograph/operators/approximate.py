@@ -1,67 +1,106 @@
-"""Optional approximate search: locality-sensitive hashing as a filter.
+"""Approximate search: rank short sign sketches, measure the best exactly.
 
-Vectors that share no hash bucket with any query are dropped in the scan; the
-exact search then runs over the rest.  No bucket is ever joined with itself,
-so a bucket that holds a large share of the vectors costs its share of the
-exact search and no more.
+A sketch keeps one bit per fixed plane, the side a vector lies on; the share of
+differing bits estimates the angle.  Sketches are stored next to the vectors:
+the first pass reads that column only, a small part of the vectors' bytes, and
+keeps ``depth`` ids per query; only their vectors are read and measured.  Work
+and recall depend on ``bits`` and ``depth``, never on how many queries there are.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+import hashlib
+from collections.abc import Iterator
+from functools import lru_cache
 
-from foliograph.functions.vectors import unit
-from foliograph.operators.knn import QUERY_BLOCK, nearest
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from foliograph.operators.knn import _cosine, _matrix, _squares, nearest
 
-def bucket_keys(df: DataFrame, vector_col: str, model, width: int, out: str = "buckets") -> DataFrame:
-    """Add one string per hash table: its number and ``width`` hash values."""
-    hashed = model.transform(df.withColumn("_vector", array_to_vector(unit(vector_col))))
-    count = model.getNumHashTables()
-    values = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(count)]
-    tables = [
-        F.concat_ws(":", F.lit(at // width), *values[at : at + width]) for at in range(0, count, width)
-    ]
-    return hashed.withColumn(out, F.array(*tables)).drop("_hashes", "_vector")
+BITS = 512
+DEPTH = 128
+
+
+@lru_cache(maxsize=4)
+def planes(bits: int, width: int) -> np.ndarray:
+    """``bits`` planes of components 1 and -1: the top bit of ``md5("plane:dimension")``."""
+    tops = [[hashlib.md5(b"%d:%d" % (p, i)).digest()[0] for i in range(width)] for p in range(bits)]
+    return np.where(np.array(tops) < 128, 1.0, -1.0).reshape(bits, width)
+
+
+def with_sketch(df: DataFrame, *, vector_col: str = "embedding", bits: int = BITS, out: str = "sketch") -> DataFrame:
+    """Add the sketch of every vector; rows without a vector are dropped.
+
+    Vectors of different widths and null components are errors.  A zero vector
+    lies on no side of any plane and gets zero bits.
+    """
+    if bits % 8:
+        raise ValueError("bits must be a multiple of 8")
+    present = df.filter(F.col(vector_col).isNotNull()).withColumn(vector_col, F.col(vector_col).cast("array<double>"))
+    schema = T.StructType([*present.schema.fields, T.StructField(out, T.BinaryType())])
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = _matrix(batch.column(batch.schema.get_field_index(vector_col)))
+            sides = vectors @ planes(bits, vectors.shape[1]).T > 0
+            packed = [row.tobytes() for row in np.packbits(sides, axis=1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(packed, pa.binary())], names=[*batch.schema.names, out]
+            )
+
+    return present.mapInArrow(sketch, schema)
+
+
+def _sketched(vectors: DataFrame, vector_col: str) -> DataFrame:
+    return vectors if "sketch" in vectors.columns else with_sketch(vectors, vector_col=vector_col)
 
 
 def candidates(
-    vectors: DataFrame,
+    sketched: DataFrame, queries: DataFrame, depth: int = DEPTH, *, id_col: str = "chunk_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """``query_key, <id_col>``: the ``depth`` ids whose sketches differ least from each query's."""
+    sketched = _sketched(sketched, vector_col)
+    stored = sketched.select((F.octet_length("sketch") * 8).alias("bits")).first()
+    asked = with_sketch(
+        queries.select("query_key", vector_col), vector_col=vector_col, bits=stored["bits"] if stored else BITS
+    )
+    found = nearest(sketched.select(id_col, "sketch"), asked.select("query_key", "sketch"), depth, id_col=id_col, vector_col="sketch")
+    return found.select("query_key", id_col)
+
+
+def approximate_nearest(
+    sketched: DataFrame,
     queries: DataFrame,
+    k: int,
     *,
+    depth: int = DEPTH,
+    id_col: str = "chunk_id",
     vector_col: str = "embedding",
-    tables: int = 8,
-    width: int = 6,
-    bucket_length: float = 2.0,
-    seed: int = 42,
 ) -> DataFrame:
-    """Vectors that share a bucket of at least one table with at least one query.
+    """``query_key, <id_col>, distance, rank`` of the nearest among ``depth`` candidates per query.
 
-    A bucket is ``width`` projections taken together.  At the default length
-    each projection of a unit vector counts by its sign only.  More width
-    drops more vectors, more tables keep more of the true neighbours.
+    ``sketched`` has one row per id and is a stored result of ``with_sketch``;
+    vectors without sketches get them on the way.  ``queries`` as in ``nearest``.  Equal distances rank by id.
+    With ``depth`` at the number of vectors the result is that of ``nearest``.
     """
-    vectors = vectors.filter(F.col(vector_col).isNotNull())
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_vector",
-        outputCol="_hashes",
-        numHashTables=tables * width,
-        bucketLength=bucket_length,
-        seed=seed,
-    )
-    model = lsh.fit(vectors.select(array_to_vector(unit(vector_col)).alias("_vector")))
-    wanted = bucket_keys(queries, vector_col, model, width).select(F.explode("buckets").alias("b")).distinct()
-    if wanted.count() > QUERY_BLOCK * tables:
-        return vectors  # too many queries for a filter: search everything
-    keys = [row["b"] for row in wanted.collect()]
-    hashed = bucket_keys(vectors, vector_col, model, width)
-    return hashed.filter(F.exists("buckets", lambda b: b.isin(keys))).drop("buckets")
+    if not 1 <= k <= depth:
+        raise ValueError("k must be positive and at most depth")
+    sketched = _sketched(sketched, vector_col)
+    near = candidates(sketched, queries, depth, id_col=id_col, vector_col=vector_col)
+    vectors = sketched.select(id_col, F.col(vector_col).alias("_v"))
+    asked = queries.select("query_key", F.col(vector_col).cast("array<double>").alias("_q"))
 
+    pairs = near.join(vectors, id_col).join(asked, "query_key").select("query_key", id_col, "_q", "_v")
+    schema = T.StructType([*pairs.schema.fields[:2], T.StructField("distance", T.DoubleType())])
 
-def approximate_nearest(
-    vectors: DataFrame, queries: DataFrame, k: int, *, id_col: str = "chunk_id", vector_col: str = "embedding", **lsh
-) -> DataFrame:
-    near = candidates(vectors, queries, vector_col=vector_col, **lsh)
-    return nearest(near, queries, k, id_col=id_col, vector_col=vector_col)
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked_for, found = _matrix(batch.column(2)), _matrix(batch.column(3))
+            distance = _cosine((asked_for * found).sum(axis=1), _squares(asked_for) * _squares(found))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(distance)], names=schema.names)
+
+    order = Window.partitionBy("query_key").orderBy("distance", id_col)
+    ranked = pairs.mapInArrow(measured, schema).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k)

@@ -41,7 +41,7 @@ def nearest(
     """``query_key, <id_col>, distance, rank`` for the ``k`` nearest vectors.
 
     ``queries`` holds distinct ``query_key`` strings with vectors of the same
-    form: hashed structs or arrays of numbers.  Equal distances rank by id.
+    form: hashed structs, arrays of numbers or packed bits.  Equal distances rank by id.
 
     The query side is counted first: up to ``query_block`` queries go to all
     tasks, more are paired with the vectors as a grid of bounded groups.
@@ -140,7 +140,7 @@ class Best:
         self.keys = queries.column("query_key").to_pylist()
         column = queries.column(vector_col)
         chunk = column.chunk(0) if column.num_chunks else pa.array([], column.type)
-        self.whole_numbers = pa.types.is_struct(column.type)
+        self.whole_numbers = not pa.types.is_list(column.type)
         self.matrix = _matrix(chunk)
         self.squares = _squares(self.matrix)
         self.distance = np.full((len(self.keys), k), np.inf)
@@ -212,8 +212,12 @@ class Best:
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
-    """Arrow vectors as rows of a matrix of doubles."""
+    """Arrow vectors as rows of a matrix of doubles; a packed bit counts as 1 or -1."""
     n = len(vectors)
+    if pa.types.is_binary(vectors.type):
+        packed = np.frombuffer(b"".join(vectors.to_pylist()), np.uint8)
+        bits = np.unpackbits(packed.reshape(n, -1), axis=1) if n else np.zeros((0, 0))
+        return bits * 2.0 - 1.0
     if pa.types.is_struct(vectors.type):
         idx, tf = vectors.flatten()
         row = np.repeat(np.arange(n), np.diff(idx.offsets.to_numpy()))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliograph.functions.vectors import dense_vector, postings, with_hashed_vector
-from foliograph.operators.approximate import approximate_nearest
+from foliograph.operators.approximate import approximate_nearest, candidates, with_sketch
 from foliograph.operators.knn import nearest
 
 WORDS = "alpha beta gamma delta eps zeta eta theta iota kappa the the the of".split()
@@ -145,3 +145,34 @@ def test_uneven_vectors_are_an_error(vectors):
 
     with pytest.raises(ValueError):
         _matrix(pa.array(vectors, pa.list_(pa.float64())))
+
+
+def test_sketches_find_the_nearest_whatever_the_number_of_queries(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 32)))]
+    with_sketch(spark.createDataFrame(rows, "id long, embedding array<double>")).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    asked = spark.createDataFrame([(str(i), rows[i][1]) for i in range(40)], "query_key string, embedding array<double>")
+    true = {(r["query_key"], r["id"]) for r in nearest(stored, asked, 5, id_col="id").collect()}
+    got = {(r["query_key"], r["id"]) for r in approximate_nearest(stored, asked, 5, id_col="id").collect()}
+    assert len(true & got) >= 0.95 * len(true) == 190
+    one = approximate_nearest(stored, asked.filter("query_key = '7'"), 5, id_col="id").collect()
+    assert {("7", r["id"]) for r in one} == {p for p in got if p[0] == "7"}
+    whole = approximate_nearest(stored, asked, 5, depth=1500, id_col="id").collect()
+    assert {(r["query_key"], r["id"]) for r in whole} == true
+    # The first pass reads ids and sketches only.
+    plan = candidates(stored, asked, id_col="id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint,sketch:binary>" in plan and "LSH" not in plan
+
+
+def test_sketches_of_empty_zero_and_bad_vectors(spark):
+    schema = "id long, embedding array<double>"
+    asked = spark.createDataFrame([("q", [1.0, 0.0])], "query_key string, embedding array<double>")
+    assert approximate_nearest(spark.createDataFrame([], schema), asked, 3, id_col="id").isEmpty()
+    few = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.1]), (3, None)], schema)
+    assert [r["id"] for r in approximate_nearest(few, asked, 3, id_col="id").orderBy("rank").collect()] == [2, 1]
+    assert approximate_nearest(few, asked.limit(0), 3, id_col="id").isEmpty()
+    with pytest.raises(Exception, match="widths"):
+        with_sketch(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], schema).coalesce(1)).collect()
+    with pytest.raises(ValueError):
+        approximate_nearest(few, asked, 5, depth=4, id_col="id")

@@ -29,8 +29,8 @@ def test_query_matches_sql(spark, sf, con, name):
         assert type_difference(df, want.description) is None
 
 
-def test_only_the_approximate_search_has_no_sql():
-    assert set(QUERIES) - set(ORACLES) == {"ann_recall"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -59,4 +59,4 @@ def test_partitioning_does_not_change_results(spark, sf):
 
 def test_ann_recall_is_reported(spark, sf):
     row = QUERIES["ann_recall"](spark, sf).first()
-    assert row["expected"] == 80 and row["recall"] >= 0.6 and 0 < row["searched_share"] < 1
+    assert row["expected"] == 80 and row["recall"] >= 0.95 and 0 < row["searched_share"] <= 1
