@@ -24,7 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = "[#*$%&|<>]"
 WINDOW = 8
 
-# Frequent lines, and documents with any, up to which they are broadcast.
+# Frequent lines, and their places with the documents that have any, up to which
+# they are broadcast.
 BROADCAST_ROWS = 200_000
 
 
@@ -165,7 +166,9 @@ def _judged(rows: DataFrame, measured: DataFrame, max_docs: int, max_share: floa
         .groupBy("row", "content").agg(F.sum("n").alias("n_removed_words"), F.collect_list("at").alias("at"))
         .checkpoint()
     )
-    side = F.broadcast(removed) if removed.count() <= BROADCAST_ROWS else removed
+    # A long document has a long list of places: they are counted, not the rows.
+    places = removed.agg(F.sum(F.size("at") + 1)).first()[0] or 0
+    side = F.broadcast(removed) if places <= BROADCAST_ROWS else removed
     out = measured.withColumn("row", F.xxhash64("id", "host")).join(side, ["row", "content"], "left")
     n_removed = F.coalesce("n_removed_words", F.lit(0)).cast("bigint")
     left = F.col("n_words") - n_removed >= min_left * F.col("n_words")
