@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from foliograph.checks.queries import (
     FILTER_CATEGORIES,
+    LETTERS,
     NEIGHBOURS,
     OLD_CHUNKS,
+    PAGE_AFTER,
     PAGE_LIMIT,
     PAGE_OFFSET,
+    REFUSED,
     SAMPLE_FRAC,
     SAMPLE_SIZE,
     SEED,
@@ -498,4 +501,74 @@ ORACLES: dict[str, str] = {
         + " from raw",
         "raw",
     ),
+    "paper_listing_after": _query(
+        f"""select arxiv_id, title, primary_category as category, submitted_year as year,
+                   case pub_status when 'published' then 'Published' else 'Preprint' end as pub_status,
+                   first_author
+            from papers
+            where submitted_year < {PAGE_AFTER[0]}
+               or submitted_year = {PAGE_AFTER[0]} and arxiv_id > '{PAGE_AFTER[1]}'
+            order by submitted_year desc, arxiv_id limit {PAGE_LIMIT}""",
+        "papers",
+    ),
+    "questions_source": _query(
+        r"""select q.question_id, b.text as question, q.category_filter, q.year_filter,
+                   'keyword_match' as grading_type,
+                   (select string_agg(w, '|' order by place)
+                    from (select w, min(place) as place
+                          from (select unnest(words) as w, unnest(range(len(words))) as place
+                                from (select regexp_extract_all(b.text, '\S+') as words))
+                          group by w)) as keywords,
+                   cast(2 as bigint) as min_keyword_hits
+            from question q join benchmark b on b.item_id = q.question_id""",
+        "question",
+    ),
+    "table_refresh": _query(
+        """select 'papers' as table_name, arxiv_id as key, pub_status as detail,
+                  abstract_word_count as number from papers
+           union all
+           select 'category_stats', primary_category,
+                  cast(round(100.0::double * count(*) filter (pub_status = 'published') / count(*), 2) as varchar),
+                  count(*) from papers group by primary_category
+           union all
+           select 'yearly_trends', primary_category, cast(submitted_year as varchar), count(*)
+           from papers group by primary_category, submitted_year
+           union all
+           select 'publication_status', primary_category, pub_status, count(*)
+           from papers group by primary_category, pub_status
+           union all
+           select 'author_stats', author, top_category, count(*)
+           from paper_names join name_tops using (author) group by author, top_category""",
+        "paper_names",
+        "name_tops",
+    ),
+    "collections": _query(
+        """select 'papers_chunks' as collection, arxiv_id, count(*) as chunks from chunk group by arxiv_id
+           union all
+           select 'recent', arxiv_id, count(*) from chunk where pub_status = 'Published' group by arxiv_id""",
+        "chunk",
+    ),
+    "index_health": _query(
+        """select 'ok' as status, count(*) as index_chunks, 'papers_chunks' as collection,
+                  'hashed' as embedding_backend from chunk""",
+        "chunk",
+    ),
+    "external_embed": _query(
+        f"""select chunk_id, position, round(x / sqrt(sum(x * x) over (partition by chunk_id)), 6) as value
+            from (select chunk_id, cast(0 as bigint) + 1 as position, cast(length(chunk_text) as double) as x
+                  from chunk
+                  union all
+                  select chunk_id, i + 1,
+                         cast(length(chunk_text) - length(replace(chunk_text, '{LETTERS}'[i], '')) as double)
+                  from chunk, range(1, {len(LETTERS) + 1}) r(i))""",
+        "chunk",
+    ),
+    "external_answers": _query(
+        f"""select question_id, failed,
+                   case when failed
+                        then 'Query failed: embedding request failed after 2 attempts: refused' end as failure,
+                   not failed as has_sources, 'letters' as model_used
+            from (select question_id, contains(query_text, '{REFUSED}') as failed from asked)""",
+        "asked",
+    ),
 }

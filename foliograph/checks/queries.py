@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,10 +16,13 @@ from foliograph.operators.approximate import approximate_nearest, candidates, wi
 from foliograph.operators.knn import nearest
 from foliograph.operators.sampling import sample_rows
 from foliograph.plans import adapter, clean, index, qa, retrieval, stats, summaries
-from foliograph.plans.listing import list_papers, with_page_count
+from foliograph.plans.embed import embed
+from foliograph.plans.listing import list_papers, list_papers_after, with_page_count
 from foliograph.session import scratch_path
 from foliograph.sources.chunk_store import ChunkStore, merged
 from foliograph.sources.delimited import read_records, write_records
+from foliograph.sources.documents import read_questions, write_json
+from foliograph.sources.tables import CLEAN_TABLES, RAW_TABLE, ensure_clean_tables, replace_table
 
 # Parameters of the registered queries; the SQL uses the same ones.
 FILTER_CATEGORIES = ("x.1", "en.src3")
@@ -25,8 +30,11 @@ SAMPLE_SIZE = 250
 SAMPLE_FRAC = 0.25
 SEED = 42
 PAGE_LIMIT, PAGE_OFFSET = 50, 10
+PAGE_AFTER = (2015, "5")
 NEIGHBOURS = 8
 OLD_CHUNKS = (100, 20)  # size and overlap of the chunks already stored
+LETTERS = "eatn"  # counted by the stand-in for an external model
+REFUSED = " category en.src"  # texts with this are refused by it
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,14 +254,17 @@ def answers(spark, sf):
     )
 
 
-def grade_answers(spark, sf):
+def _graded_questions(spark, sf):
     grading = F.struct(
         F.lit("keyword_match").alias("type"),
         F.array_distinct(py_words("question")).alias("must_contain_any"),
         F.lit(2).alias("min_keyword_hits"),
     )
-    questions = adapter.questions(spark, sf).withColumn("grading", grading)
-    graded = qa.grade_answers(_answers(spark, sf, questions, keep=("grading",)))
+    return adapter.questions(spark, sf).withColumn("grading", grading)
+
+
+def grade_answers(spark, sf):
+    graded = qa.grade_answers(_answers(spark, sf, _graded_questions(spark, sf), keep=("grading",)))
     return graded.withColumns(
         {c: F.col(c).cast("bigint") for c in ("keyword_hits", "min_keyword_hits")}
     )
@@ -273,6 +284,120 @@ def csv_ingest(spark, sf):
     return clean.raw_papers(read_records(spark, path))
 
 
+def paper_listing_after(spark, sf):
+    return list_papers_after(_papers(spark, sf), *PAGE_AFTER, PAGE_LIMIT)
+
+
+def questions_source(spark, sf):
+    """The questions with their grading, exported as JSON lines and read as a question list."""
+    path = scratch_path(spark, "questions")
+    write_json(_graded_questions(spark, sf), path)
+    return read_questions(spark, path, json_lines=True).select(
+        F.col("id").cast("bigint").alias("question_id"),
+        "question",
+        "category_filter",
+        "year_filter",
+        F.col("grading.type").alias("grading_type"),
+        F.array_join("grading.must_contain_any", "|").alias("keywords"),
+        F.col("grading.min_keyword_hits").cast("bigint").alias("min_keyword_hits"),
+    )
+
+
+def table_refresh(spark, sf):
+    """Rows of all five tables after a refresh from the stored raw table, in a database of its own."""
+    name = f"refresh_{uuid.uuid4().hex}"
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"create database {name} location '{scratch_path(spark, 'tables')}'")
+    spark.catalog.setCurrentDatabase(name)
+    try:
+        replace_table(_raw(spark, sf), RAW_TABLE)
+        ensure_clean_tables(spark, rebuild=True)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    keys = {
+        "papers": ("arxiv_id", "pub_status", "abstract_word_count"),
+        "category_stats": ("category", "publish_rate_pct", "total_papers"),
+        "yearly_trends": ("category", "year", "paper_count"),
+        "publication_status": ("category", "pub_status", "paper_count"),
+        "author_stats": ("author", "top_category", "paper_count"),
+    }
+    parts = [
+        spark.table(f"{name}.{table}").select(
+            F.lit(table).alias("table_name"),
+            F.col(keys[table][0]).alias("key"),
+            F.col(keys[table][1]).cast("string").alias("detail"),
+            F.col(keys[table][2]).cast("bigint").alias("number"),
+        )
+        for table in CLEAN_TABLES
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
+
+
+def collections(spark, sf):
+    """Two collections under one root; a reset of the second one leaves the first as it is."""
+    root = scratch_path(spark, "collections")
+    papers = _papers(spark, sf)
+    main, recent = ChunkStore(spark, root), ChunkStore(spark, root, "recent")
+    index.build_index(papers, main)
+    index.build_index(papers, recent, False, *OLD_CHUNKS)
+    index.build_index(papers.filter("pub_status = 'published'"), recent, reset=True)
+
+    def sizes(store: ChunkStore) -> DataFrame:
+        held = store.read().groupBy("arxiv_id").agg(F.count("*").alias("chunks"))
+        return held.select(F.lit(store.collection).alias("collection"), "arxiv_id", "chunks")
+
+    return sizes(main).unionByName(sizes(recent))
+
+
+def index_health(spark, sf):
+    store = ChunkStore(spark, scratch_path(spark, "health"))
+    index.ensure_index(_papers(spark, sf), store)
+    return index.index_health(spark, store).select("status", "index_chunks", "collection", "embedding_backend")
+
+
+def letter_model(refused: str | None = None) -> Callable:
+    """A stand-in for an external model: length and letter counts, answered in reverse order."""
+
+    def model(texts: list[str]) -> list[dict]:
+        if refused and any(refused in text for text in texts):
+            raise ValueError("refused")
+        items = [
+            {"index": i, "embedding": [float(len(t)), *(float(t.count(c)) for c in LETTERS)]}
+            for i, t in enumerate(texts)
+        ]
+        return items[::-1]
+
+    return model
+
+
+def external_embed(spark, sf):
+    rows = embed(_chunks(spark, sf), "chunk_text", "External", factory=letter_model, normalize=True)
+    return rows.select("chunk_id", F.posexplode("embedding").alias("i", "x")).select(
+        "chunk_id", (F.col("i") + 1).cast("bigint").alias("position"), F.round("x", 6).alias("value")
+    )
+
+
+def external_answers(spark, sf):
+    """Answers with an external model that refuses some questions: the failure is their answer."""
+    store = ChunkStore(spark, scratch_path(spark, "external"))
+    chunks = index.ensure_index(_papers(spark, sf), store, backend="external", factory=letter_model)
+    answered = qa.answer_questions(
+        adapter.questions(spark, sf), chunks, model="letters", backend="external",
+        factory=partial(letter_model, REFUSED), attempts=2, backoff=0.0,
+    )
+    failed = F.col("answer").startswith("Query failed: ")
+    return answered.select(
+        "question_id",
+        failed.alias("failed"),
+        F.when(failed, F.col("answer")).alias("failure"),
+        (F.size("sources") > 0).alias("has_sources"),
+        "model_used",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_papers": raw_papers,
     "category_filter": category_filter,
@@ -313,4 +438,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_n": sample_n,
     "sample_frac": sample_frac,
     "csv_ingest": csv_ingest,
+    "paper_listing_after": paper_listing_after,
+    "questions_source": questions_source,
+    "table_refresh": table_refresh,
+    "collections": collections,
+    "index_health": index_health,
+    "external_embed": external_embed,
+    "external_answers": external_answers,
 }
