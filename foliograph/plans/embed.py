@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import warnings
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliograph.functions.vectors import unit, with_hashed_vector
 from foliograph.operators.batch_infer import batch_infer
@@ -15,6 +17,21 @@ def hashed(df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
     return with_hashed_vector(df, text_col, out).withColumn("error", F.lit(None).cast("string"))
 
 
+def _problem(spark: SparkSession, factory: Callable[[], Callable]) -> str | None:
+    """Why a worker cannot create the model, or None; nothing is loaded on the driver."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            problem = None
+            try:
+                factory()
+            except Exception as exc:
+                problem = repr(exc)
+            yield pa.RecordBatch.from_arrays([pa.array([problem], pa.string())], names=["problem"])
+
+    return spark.range(1, numPartitions=1).mapInArrow(probe, "problem string").first()["problem"]
+
+
 def external(
     df: DataFrame,
     text_col: str,
@@ -27,15 +44,15 @@ def external(
 ) -> DataFrame:
     """Vectors of an injected model, optionally scaled to unit length.
 
-    ``fallback="hashed"`` switches to the hashed back end when the model
-    cannot be created; without it that is an error.
+    ``fallback="hashed"`` switches to the hashed back end, with a warning, when
+    a worker cannot create the model; without it that is an error.
     """
     if fallback not in (None, "hashed"):
         raise ValueError("fallback must be 'hashed' or None")
     if fallback == "hashed":
-        try:
-            factory()
-        except Exception:
+        problem = _problem(df.sparkSession, factory)
+        if problem is not None:
+            warnings.warn(f"hashed vectors are used, the model cannot be created: {problem}", stacklevel=2)
             return hashed(df, text_col, out)
     rows = batch_infer(df, text_col, factory, out=out, **options)
     return rows.withColumn(out, unit(out)) if normalize else rows

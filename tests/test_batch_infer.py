@@ -104,7 +104,8 @@ def test_back_ends(spark):
     df = spark.createDataFrame([("a b a",)], "t string")
     hashed = embed(df, "t", "Hashed").first()
     assert sum(hashed["embedding"]["tf"]) == 3 and hashed["error"] is None
-    assert embed(df, "t", "external", factory=missing, fallback="hashed").first() == hashed
+    with pytest.warns(UserWarning, match="cannot be created"):
+        assert embed(df, "t", "external", factory=missing, fallback="hashed").first() == hashed
     with pytest.raises(Exception, match="no model here"):
         embed(df, "t", "external", factory=missing, attempts=1).collect()
     with pytest.raises(ValueError):

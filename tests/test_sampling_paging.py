@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliograph.operators.sampling import sample_key, sample_rows
-from foliograph.plans.listing import list_papers, with_page_count
+from foliograph.plans.listing import list_papers, list_papers_after, with_page_count
 
 
 def rows(df):
@@ -99,3 +99,18 @@ def test_page_count_and_labels(papers):
 def test_page_bounds(papers, limit, offset):
     with pytest.raises(ValueError):
         list_papers(papers, limit, offset)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 200])
+def test_pages_after_a_key_follow_each_other(papers, limit):
+    papers = papers.unionByName(papers.limit(1).withColumns({"arxiv_id": F.lit("zz"), "submitted_year": F.lit(None)}))
+    want = [tuple(r) for at in (0, 200) for r in list_papers(papers, 200, at).collect()]
+    got = [tuple(r) for r in list_papers(papers, limit).collect()]
+    for _ in range(3):
+        got += [tuple(r) for r in list_papers_after(papers, got[-1][3], got[-1][0], limit).collect()]
+    assert got == want[: len(got)] and len(got) == min(len(want), 4 * limit)
+
+
+def test_page_after_bounds(papers):
+    with pytest.raises(ValueError):
+        list_papers_after(papers, 2010, "a", 201)
