@@ -40,7 +40,7 @@ from foliograph.session import scratch_path
 GRAM = 8
 SHARD_WORDS = 400_000
 WIDE = 10_000
-_TAG_BITS, _START_BITS, _COUNT_BITS = 20, 37, 6
+_COUNT_BITS = 6
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -103,29 +103,25 @@ def _anchor_counts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
 
 
 def _stretches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """id, tag, text -> anchor, content, id, place (tag, first word and number of windows in one number)."""
+    """k1, k2, text -> anchor, content, k1, k2, place (first word and number of windows in one number)."""
     for batch in batches:
-        tags = batch.column(1).to_numpy()
         for begin, last, data, offsets in text_slices(batch.column(2)):
             words, first = _word_hashes(data, offsets)
             anchor, text, start, count = _anchors(words, first, length)
             content = _range_hashes(words, start, count + length - 1)
-            place = tags[begin:last][text] << (_START_BITS + _COUNT_BITS) | (start - first[text]) << _COUNT_BITS | count
+            place = (start - first[text]) << _COUNT_BITS | count
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(anchor.view(np.int64)),
                     pa.array(content.view(np.int64)),
                     batch.column(0).slice(begin, last - begin).take(pa.array(text)),
+                    batch.column(1).slice(begin, last - begin).take(pa.array(text)),
                     pa.array(place),
                 ],
-                names=["anchor", "content", "id", "place"],
+                names=["anchor", "content", "k1", "k2", "place"],
             )
 
 
-def _tag_of(place: Column) -> Column:
-    return F.shiftright(place, _START_BITS + _COUNT_BITS)
-
-
 def _stretch_words(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """text, stretches -> anchor, content, words (hashes of the stretch as bytes)."""
     for batch in batches:
@@ -216,30 +212,31 @@ def _single_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, *carried: Column) -> DataFrame:
-    """``id, tag, text``: the tag tells rows of one id with different texts apart."""
+    """``k1, k2, text``: two 64-bit hashes of id and text, so rows share a key only if both are equal."""
     text = F.col(f"`{text_col}`")
     ids = F.col(f"`{id_col}`").cast("bigint")
     return docs.select(
-        F.coalesce(ids, F.lit(-(2**63))).alias("id"),
-        F.shiftrightunsigned(F.xxhash64(text), 64 - _TAG_BITS).alias("tag"),
+        F.xxhash64(ids, text).alias("k1"),
+        # A hash is the seed of the next column's: the number comes first.
+        F.xxhash64(F.lit(1), ids, text).alias("k2"),
         text.alias("text"),
         *carried,
     )
 
 
 def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFrame:
-    """``id, tag, runs``: per document with repeated windows the (first word, mask) of its stretches."""
+    """``k1, k2, runs``: per document with repeated windows the (first word, mask) of its stretches."""
     counts = keyed.select("text").mapInArrow(lambda b: _anchor_counts(b, length), "anchor bigint, n bigint")
     again = counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
     stretches = _stored(
         keyed.mapInArrow(
-            lambda b: _stretches(b, length), "anchor bigint, content bigint, id bigint, place bigint"
+            lambda b: _stretches(b, length), "anchor bigint, content bigint, k1 bigint, k2 bigint, place bigint"
         ).join(again, "anchor", "left_semi"),
         "substring-stretches",
     )
     distinct = _stored(
         stretches.groupBy("anchor", "content").agg(
-            F.count("*").alias("n"), F.min(F.struct("id", "place")).alias("seen")
+            F.count("*").alias("n"), F.min(F.struct("k1", "k2", "place")).alias("seen")
         ),
         "substring-distinct",
     )
@@ -250,17 +247,16 @@ def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFra
     several = kinds.filter("kinds > 1")
     search = distinct.join(several, "anchor").select(
         "anchor", "content", "kinds", "n",
-        F.col("seen.id").alias("id"),
-        _tag_of(F.col("seen.place")).alias("tag"),
-        F.expr(f"shiftrightunsigned(seen.place, {_COUNT_BITS}) & {(1 << _START_BITS) - 1}L").alias("start"),
+        "seen.k1", "seen.k2",
+        F.shiftright("seen.place", _COUNT_BITS).alias("start"),
         windows_of.cast("bigint").alias("count"),
     )
-    wanted = search.groupBy("id", "tag").agg(
+    wanted = search.groupBy("k1", "k2").agg(
         F.collect_list(F.struct("anchor", "content", "start", "count")).alias("stretches")
     )
-    # Equal rows of one id give their stretches more than once.
+    # Equal rows (id and text) give their stretches more than once.
     content = (
-        keyed.join(wanted.hint("shuffle_hash"), ["id", "tag"])
+        keyed.join(wanted.hint("shuffle_hash"), ["k1", "k2"])
         .select("text", "stretches")
         .mapInArrow(lambda b: _stretch_words(b, length), "anchor bigint, content bigint, words binary")
     )
@@ -281,12 +277,11 @@ def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFra
     return (
         stretches.join(found, ["anchor", "content"])
         .select(
-            "id",
-            _tag_of(F.col("place")).alias("tag"),
-            F.expr(f"shiftrightunsigned(place, {_COUNT_BITS}) & {(1 << _START_BITS) - 1}L").alias("start"),
+            "k1", "k2",
+            F.shiftright("place", _COUNT_BITS).alias("start"),
             "mask",
         )
-        .groupBy("id", "tag")
+        .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("start", "mask")).alias("runs"))
     )
 
@@ -351,7 +346,7 @@ def _with_runs(docs: DataFrame, length: int, id_col: str, text_col: str, wide: i
     if not GRAM < length < GRAM + (1 << _COUNT_BITS) - 2:
         raise ValueError(f"windows of {GRAM + 1} to {GRAM + (1 << _COUNT_BITS) - 3} words can be searched")
     runs = _stored(repeated_windows(_keyed(docs, id_col, text_col), length, wide), "substring-runs")
-    return _keyed(docs, id_col, text_col, *carried).join(runs.hint("shuffle_hash"), ["id", "tag"], "left")
+    return _keyed(docs, id_col, text_col, *carried).join(runs.hint("shuffle_hash"), ["k1", "k2"], "left")
 
 
 def without_repeats(
@@ -365,12 +360,12 @@ def without_repeats(
     places of their windows.  Ids are integers; a null id stays null.  Tables
     without rows give none; other columns are not looked at.
     """
-    rows = _with_runs(docs, length, id_col, text_col, wide).select("id", "text", "runs")
+    ids = F.col(f"`{id_col}`").cast("bigint").alias("id")
+    rows = _with_runs(docs, length, id_col, text_col, wide, ids).select("id", "text", "runs")
     cut = rows.mapInArrow(
         lambda b: _cut(b, length, False), "id bigint, n_words bigint, n_removed bigint, kept string"
     )
-    ids = F.when(F.col("id") != F.lit(-(2**63)), F.col("id"))
-    return cut.select(ids.alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+    return cut.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
 def cut_documents(

@@ -203,6 +203,21 @@ def test_substring_dedup(docs, rows, empty, wide):
     assert substring_dedup.without_repeats(empty, size).count() == 0
 
 
+def test_substring_dedup_keeps_texts_of_one_id_apart(spark):
+    passage = [f"p{i}" for i in range(40)]
+    texts = []
+    for i in range(5000):  # about a dozen pairs agree in 20 bits of any hash
+        before = [f"{i}-{j}" for j in range(i % 7)]
+        texts.append(" ".join(before + (passage if i % 3 else [f"{i}+{j}" for j in range(40)])))
+    for key in (None, 1, -(2**63)):
+        got = substring_dedup.without_repeats(spark.createDataFrame([(key, t) for t in texts], "doc_id long, text string")).collect()
+        want = collections.Counter()
+        for i, t in enumerate(texts):
+            left = " ".join(words(t)[: i % 7]) if i % 3 else t
+            want[key, len(words(t)), 40 if i % 3 else 0, hashlib.sha256(left.encode()).hexdigest()] += 1
+        assert collections.Counter(map(tuple, got)) == want
+
+
 def test_packing(docs, rows, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
