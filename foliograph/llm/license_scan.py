@@ -11,28 +11,128 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Identifier -> normalised sentence of well-known licence texts.
-SENTENCES = {
-    "apache-header": "licensed under the apache license version 2 0",
-    "apache-title": "apache license version 2 0",
-    "apache-limit": "you may not use this file except in compliance with the license",
-    "apache-copy": "you may obtain a copy of the license at",
-    "mit-header": "licensed under the mit license",
-    "mit-title": "the mit license mit",
-    "mit-spdx": "spdx license identifier mit",
-    "apache-spdx": "spdx license identifier apache 2 0",
-    "gpl-header": "licensed under the gnu general public license",
-    "gpl3-header": "licensed under the gnu general public license version 3",
-    "gpl3-spdx": "spdx license identifier gpl 3 0 or later",
-    "bsd-header": "licensed under the bsd 3 clause license",
-    "bsd-spdx": "spdx license identifier bsd 3 clause",
-    "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    "cc-by": "licensed under cc by 4 0",
-    "cc-by-sa": "licensed under cc by sa 4 0",
-    "cc-by-nc": "licensed under cc by nc 4 0",
-    "cc-zero": "licensed under cc0 1 0",
-    "reserved": "all rights reserved",
+# Identifier -> normalised names of a licence, as they follow an opening.
+NAMES = {
+    "apache-header": (
+        "apache license version 2 0", "apache license 2 0", "apache license v2 0", "apache 2 0 license", "apache 2 0",
+        "apache version 2 0 license", "apache software license version 2 0", "apache license version 2 0 the license",
+    ),
+    "mit-header": ("mit license", "mit", "mit licence", "mit expat license", "expat license", "mit open source license"),
+    "gpl2-header": (
+        "gnu general public license version 2", "gnu general public license v2 0", "gnu gpl version 2", "gnu gpl v2",
+        "gplv2", "gpl v2", "gpl 2 0", "gplv2 license", "gnu general public license version 2 or later",
+    ),
+    "gpl3-header": (
+        "gnu general public license version 3", "gnu general public license v3 0", "gnu gpl version 3", "gnu gpl v3",
+        "gplv3", "gpl v3", "gpl 3 0", "gplv3 license", "gnu general public license version 3 or later",
+    ),
+    "gpl-header": ("gnu general public license", "gnu gpl", "gpl", "gpl license"),
+    "lgpl21-header": ("gnu lesser general public license version 2 1", "gnu lgpl version 2 1", "lgpl v2 1", "lgpl 2 1"),
+    "lgpl3-header": ("gnu lesser general public license version 3", "gnu lgpl version 3", "lgplv3", "lgpl v3", "lgpl 3 0"),
+    "lgpl-header": ("gnu lesser general public license", "gnu lgpl", "lgpl"),
+    "agpl3-header": (
+        "gnu affero general public license version 3", "gnu affero general public license v3 0", "gnu agpl version 3",
+        "agplv3", "agpl v3", "agpl 3 0",
+    ),
+    "agpl-header": ("gnu affero general public license", "gnu agpl", "agpl"),
+    "mpl2-header": ("mozilla public license version 2 0", "mozilla public license 2 0", "mozilla public license v2 0", "mpl 2 0"),
+    "bsd-header": ("bsd 3 clause license", "3 clause bsd license", "bsd 3 clause", "new bsd license", "modified bsd license"),
+    "bsd2-header": ("bsd 2 clause license", "2 clause bsd license", "bsd 2 clause", "simplified bsd license"),
+    "bsd-any-header": ("bsd license", "bsd"),
+    "isc-header": ("isc license", "isc"),
+    "zlib-header": ("zlib license", "zlib libpng license"),
+    "boost-header": ("boost software license version 1 0", "boost software license"),
+    "epl2-header": ("eclipse public license version 2 0", "eclipse public license 2 0", "eclipse public license v2 0"),
+    "unlicense-header": ("unlicense",),
+    "cc-by": ("cc by 4 0", "cc by 4 0 license", "creative commons attribution 4 0 international license", "creative commons attribution 4 0 license"),
+    "cc-by-sa": (
+        "cc by sa 4 0", "cc by sa 4 0 license", "creative commons attribution sharealike 4 0 international license",
+        "creative commons attribution sharealike 4 0 license",
+    ),
+    "cc-by-nc": (
+        "cc by nc 4 0", "cc by nc 4 0 license", "creative commons attribution noncommercial 4 0 international license",
+        "creative commons attribution noncommercial 4 0 license",
+    ),
+    "cc-zero": ("cc0 1 0", "cc0", "cc0 license", "cc0 1 0 universal", "creative commons zero v1 0 universal", "creative commons cc0 license"),
 }
+SUBJECTS = ("", "this work is ", "this software is ", "this project is ", "this program is ", "this file is ", "this library is ", "this code is ")
+VERBS = ("licensed", "released", "distributed", "published", "available", "made available")
+LINKS = ("under", "under the", "under a", "under the terms of the")
+
+# Identifier -> normalised sentences of well-known licence texts that have no such opening.
+TEXTS = {
+    "apache-title": ("apache license version 2 0",),
+    "apache-limit": ("you may not use this file except in compliance with the license",),
+    "apache-copy": ("you may obtain a copy of the license at",),
+    "mit-title": ("the mit license mit", "the mit license", "mit license"),
+    "mit-grant": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation "
+        "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+        "permit persons to whom the software is furnished to do so subject to the following conditions",
+    ),
+    "mit-spdx": ("spdx license identifier mit",),
+    "apache-spdx": ("spdx license identifier apache 2 0",),
+    "gpl3-spdx": ("spdx license identifier gpl 3 0 or later", "spdx license identifier gpl 3 0 only", "spdx license identifier gpl 3 0"),
+    "gpl2-spdx": ("spdx license identifier gpl 2 0 or later", "spdx license identifier gpl 2 0 only", "spdx license identifier gpl 2 0"),
+    "bsd-spdx": ("spdx license identifier bsd 3 clause",),
+    "bsd2-spdx": ("spdx license identifier bsd 2 clause",),
+    "mpl2-spdx": ("spdx license identifier mpl 2 0",),
+    "isc-spdx": ("spdx license identifier isc",),
+    # A GNU notice breaks behind "free software".
+    **{
+        f"{name}-notice": tuple(
+            f"you can redistribute it and or modify it under the terms of the gnu {kind}general public license as published by "
+            f"the free software foundation {version}"
+            for version in (f"either version {n} of the license or at your option any later version", f"version {n} of the license", f"version {n}")
+        )
+        for name, kind, n in (
+            ("gpl2", "", "2"), ("gpl3", "", "3"), ("lgpl21", "lesser ", "2 1"), ("lgpl3", "lesser ", "3"), ("agpl3", "affero ", "3"),
+        )
+    },
+    # The sentence mark of "v. 2.0" ends it.
+    "mpl2-notice": ("this source code form is subject to the terms of the mozilla public license v",),
+    "bsd-grant": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that "
+        "the following conditions are met",
+    ),
+    "bsd-endorse": tuple(
+        f"neither the name of the {owner} nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission"
+        for owner in ("copyright holder", "copyright owner", "university", "organization", "organization s")
+    ),
+    "isc-grant": tuple(
+        f"permission to use copy modify and {either}distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies"
+        for either in ("", "or ")
+    ),
+    "unlicense-text": ("this is free and unencumbered software released into the public domain",),
+    "reserved": ("all rights reserved",),
+}
+
+
+class Wordings(tuple):
+    """Pairs of identifier and sentence: an identifier has many sentences, a sentence one identifier."""
+
+    def items(self) -> Wordings:
+        return self
+
+
+def _wordings() -> Wordings:
+    own: dict[str, str] = {}
+    for known, names in NAMES.items():
+        for name in names:
+            for subject in SUBJECTS:
+                for verb in VERBS:
+                    for link in LINKS:
+                        own.setdefault(f"{subject}{verb} {link} {name}", known)
+    for known, texts in TEXTS.items():
+        for text in texts:
+            own.setdefault(text, known)
+    return Wordings((known, sentence) for sentence, known in own.items())
+
+
+SENTENCES = _wordings()
 
 # Rule name -> identifiers that follow one another, strongest rule first.
 RULES = {
@@ -42,13 +142,42 @@ RULES = {
     "apache-2.0-spdx": ("apache-spdx",),
     "mit": ("mit-header",),
     "mit-title": ("mit-title",),
+    "mit-grant": ("mit-grant",),
     "mit-spdx": ("mit-spdx",),
+    "agpl-3.0": ("agpl3-header",),
+    "agpl-3.0-notice": ("agpl3-notice",),
+    "agpl": ("agpl-header",),
     "gpl-3.0": ("gpl3-header",),
+    "gpl-3.0-notice": ("gpl3-notice",),
     "gpl-3.0-spdx": ("gpl3-spdx",),
+    "gpl-2.0": ("gpl2-header",),
+    "gpl-2.0-notice": ("gpl2-notice",),
+    "gpl-2.0-spdx": ("gpl2-spdx",),
     "gpl": ("gpl-header",),
+    "lgpl-3.0": ("lgpl3-header",),
+    "lgpl-3.0-notice": ("lgpl3-notice",),
+    "lgpl-2.1": ("lgpl21-header",),
+    "lgpl-2.1-notice": ("lgpl21-notice",),
+    "lgpl": ("lgpl-header",),
+    "mpl-2.0": ("mpl2-header",),
+    "mpl-2.0-notice": ("mpl2-notice",),
+    "mpl-2.0-spdx": ("mpl2-spdx",),
+    "epl-2.0": ("epl2-header",),
+    "bsd-3-clause-text": ("bsd-grant", "bsd-endorse"),
     "bsd-3-clause-grant": ("reserved", "bsd-grant"),
     "bsd-3-clause": ("bsd-header",),
     "bsd-3-clause-spdx": ("bsd-spdx",),
+    "bsd-2-clause": ("bsd2-header",),
+    "bsd-2-clause-spdx": ("bsd2-spdx",),
+    "bsd": ("bsd-any-header",),
+    "bsd-grant": ("bsd-grant",),
+    "isc": ("isc-header",),
+    "isc-grant": ("isc-grant",),
+    "isc-spdx": ("isc-spdx",),
+    "zlib": ("zlib-header",),
+    "bsl-1.0": ("boost-header",),
+    "unlicense": ("unlicense-header",),
+    "unlicense-text": ("unlicense-text",),
     "cc-by-nc-4.0-reserved": ("cc-by-nc", "reserved"),
     "cc-by-nc-4.0": ("cc-by-nc",),
     "cc-by-sa-4.0": ("cc-by-sa",),
@@ -67,7 +196,7 @@ def normalised(sentence: Column) -> Column:
 
 def scan(
     docs: DataFrame,
-    sentences: dict[str, str] = SENTENCES,
+    sentences: Wordings | dict[str, str] = SENTENCES,
     rules: dict[str, tuple[str, ...]] = RULES,
     *,
     id_col: str = "doc_id",
@@ -91,7 +220,7 @@ def scan(
     found = (
         rows.select("id", "content", F.posexplode("pieces").alias("at", "piece"))
         # Known sentences are short and plain: length settles most pieces.
-        .filter(F.length("piece") <= 4 * max(map(len, sentences.values())))
+        .filter(F.length("piece") <= 4 * max(len(s) for _, s in sentences.items()))
         .withColumn("sentence", normalised(F.col("piece")))
         .join(known, "sentence")
         .groupBy(F.xxhash64("id").alias("row"), "content", "at").agg(F.min("known").alias("known"))

@@ -291,6 +291,24 @@ def test_license_scan(spark, docs, rows, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def licensed(spark, texts):
+    got = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id")
+    return [(r["sentence_ids"], r["license"]) for r in got.collect()]
+
+
+def test_license_openings(spark):
+    said = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0",
+        "Released under the MIT License.": "mit",
+        "Distributed under the terms of the Mozilla Public License 2.0.": "mpl-2.0",
+        "This software is distributed under the Boost Software License, Version 1.0.": "bsl-1.0",
+        "This project is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by-4.0",
+        "This is free and unencumbered software released into the public domain.": "unlicense-text",
+        "We met under the old license.": None,
+    }
+    assert [x for _, x in licensed(spark, said)] == list(said.values())
+
+
 @pytest.mark.parametrize("head", [lm_score.HEAD, 50])
 def test_lm_score(docs, rows, empty, head):
     tokens = [(k, [*words((t or "").translate(LOWER)), None]) for k, t in rows]
