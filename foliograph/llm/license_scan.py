@@ -2,7 +2,10 @@
 
 Texts are cut into sentences, normalised (lower case, anything but letters and
 digits becomes one space) and compared with a table of known sentences; what
-is known becomes a sequence of identifiers.  Rules are sequences of
+is known becomes a sequence of identifiers.  Each line is a sentence, and so are
+lines that follow one another without a sentence mark or an empty line (or one
+of comment marks only) between them: of overlapping ones the leftmost is known,
+and of these the longest.  Rules are sequences of
 identifiers in an order of precedence; a rule matches where its identifiers
 follow one another.  Only recognised sentences leave the scan.
 """
@@ -186,12 +189,50 @@ RULES = {
     "all-rights-reserved": ("reserved",),
 }
 
-SENTENCE_END = r"\n|[.!?;:]+(?=[ \t\r\n]|$)"
+MARKS = r"[.!?;:]+(?=[ \t\r\n]|$)"
 MAX_SENTENCES = 20_000
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def normalised(text: Column) -> Column:
+    """Normalised lines, an empty line behind each sentence mark."""
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), MARKS, "\n\n")
+    return F.regexp_replace(F.regexp_replace(F.lower(marked), r"[^a-z0-9\n]+", " "), " ?\n ?", "\n")
+
+
+def _runs(lines: Column, heads: set[str], longest: int) -> Column:
+    """``at, last, sentence`` of all runs of lines that begin like a known sentence and are not longer than one."""
+
+    def joined(i: Column, n: Column) -> Column:
+        return F.array_join(F.slice(lines, i + 1, n), " ")
+
+    def at(line: Column, i: Column) -> Column:
+        # A line has a word at least, so more lines than words cannot match.
+        most = F.least(F.size(lines) - i, F.lit(longest))
+        runs = F.transform(
+            F.sequence(F.lit(1), most), lambda n: F.struct(i.alias("at"), (i + n - 1).alias("last"), joined(i, n).alias("sentence"))
+        )
+        return F.when(F.substring_index(line, " ", 2).isin(heads), runs)
+
+    return F.flatten(F.array_compact(F.transform(lines, at)))
+
+
+def _leftmost_longest(found: Column) -> Column:
+    """Identifiers of the runs that do not overlap; ``found`` has ``paragraph, at, back, known`` in order."""
+    start = F.struct(
+        F.lit(-1).alias("paragraph"), F.lit(-1).alias("last"), F.array().cast("array<string>").alias("ids")
+    )
+    return F.aggregate(
+        found,
+        start,
+        lambda done, x: F.when((x["paragraph"] == done["paragraph"]) & (x["at"] <= done["last"]), done).otherwise(
+            F.struct(
+                x["paragraph"].alias("paragraph"),
+                (-x["back"]).alias("last"),
+                F.concat(done["ids"], F.array(x["known"])).alias("ids"),
+            )
+        ),
+        lambda done: done["ids"],
+    )
 
 
 def scan(
@@ -204,6 +245,7 @@ def scan(
 ) -> DataFrame:
     """Per row: id, ``n_sentences``, ``sentence_ids``, ``licenses`` and ``license``.
 
+    ``n_sentences`` counts pieces between sentence marks and line ends.
     ``sentence_ids`` joins the recognised identifiers in text order by commas,
     ``licenses`` the matching rules in rule order; ``license`` is the first of
     these or null.  A null text has no sentence; repeated rows give repeated
@@ -213,23 +255,28 @@ def scan(
         raise ValueError(f"at most {MAX_SENTENCES} known sentences")
     spark = docs.sparkSession
     known = F.broadcast(spark.createDataFrame([(s, i) for i, s in sentences.items()], "sentence string, known string"))
-    pieces = F.filter(F.split(F.coalesce("text", F.lit("")), SENTENCE_END), lambda s: F.rlike(s, F.lit("[a-zA-Z0-9]")))
+    split = [s.split(" ") for _, s in sentences.items()]
+    heads = {w[0] for w in split} | {" ".join(w[:2]) for w in split}
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).select(
-        "id", F.xxhash64("text").alias("content"), pieces.alias("pieces")
+        "id", F.xxhash64("text").alias("content"), F.trim(normalised(F.col("text"))).alias("text")
+    )
+    runs = (
+        rows.select("id", "content", F.posexplode(F.split("text", "\n\n+")).alias("paragraph", "text"))
+        .withColumn("lines", F.array_remove(F.split("text", "\n"), ""))
+        .select("id", "content", "paragraph", F.explode(_runs(F.col("lines"), heads, max(map(len, split)))).alias("run"))
     )
     found = (
-        rows.select("id", "content", F.posexplode("pieces").alias("at", "piece"))
-        # Known sentences are short and plain: length settles most pieces.
-        .filter(F.length("piece") <= 4 * max(len(s) for _, s in sentences.items()))
-        .withColumn("sentence", normalised(F.col("piece")))
+        runs.select("id", "content", "paragraph", "run.*")
         .join(known, "sentence")
-        .groupBy(F.xxhash64("id").alias("row"), "content", "at").agg(F.min("known").alias("known"))
-        .groupBy("row", "content").agg(F.sort_array(F.collect_list(F.struct("at", "known"))).alias("found"))
+        .groupBy(F.xxhash64("id").alias("row"), "content")
+        # Copies of a row have the same runs.
+        .agg(F.sort_array(F.collect_set(F.struct("paragraph", "at", (-F.col("last")).alias("back"), "known"))).alias("found"))
+        .select("row", "content", _leftmost_longest(F.col("found")).alias("found"))
     )
-    joined = rows.select("id", "content", F.size("pieces").cast("bigint").alias("n_sentences")).withColumn(
+    joined = rows.select("id", "content", F.regexp_count("text", F.lit(r"[^\n]+")).cast("bigint").alias("n_sentences")).withColumn(
         "row", F.xxhash64("id")
     ).join(found, ["row", "content"], "left")
-    ids = F.coalesce(F.array_join(F.transform("found", lambda x: x["known"]), ","), F.lit(""))
+    ids = F.coalesce(F.array_join("found", ","), F.lit(""))
     inside = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
     matching = F.array_compact(
         F.array(*[F.when(F.contains(inside, F.lit(f",{','.join(seq)},")), F.lit(name)) for name, seq in rules.items()])

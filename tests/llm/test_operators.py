@@ -309,6 +309,35 @@ def test_license_openings(spark):
     assert [x for _, x in licensed(spark, said)] == list(said.values())
 
 
+def test_license_wrapped(spark):
+    apache = """#
+# Copyright 2020 Somebody
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance
+# with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+    bsd = """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+"""
+    gpl = "Some prose\n * Licensed under the\r\n * GNU General Public License\n * version 3.\n * More of it"
+    apart = "Licensed under the\n\nMIT License. Licensed under the!\nMIT License"
+    title = "Released under\nthe\nMIT\nLicense\nAll rights\nreserved"
+    assert licensed(spark, [apache, bsd, gpl, apart, title]) == [
+        ("apache-header,apache-limit,apache-copy", "apache-2.0-notice"),
+        ("reserved,bsd-grant", "bsd-3-clause-grant"),
+        ("gpl3-header", "gpl-3.0"),
+        ("mit-title,mit-title", "mit-title"),
+        ("mit-header,reserved", "mit"),
+    ]
+
+
 @pytest.mark.parametrize("head", [lm_score.HEAD, 50])
 def test_lm_score(docs, rows, empty, head):
     tokens = [(k, [*words((t or "").translate(LOWER)), None]) for k, t in rows]
