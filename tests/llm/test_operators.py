@@ -338,6 +338,11 @@ modification, are permitted provided that the following conditions are met:
     ]
 
 
+def test_license_padded(spark):
+    padded = "=" * 9000 + " Licensed under " + " *" * 4000 + " the MIT License " + "\t" * 9000 + "#"
+    assert licensed(spark, [padded, padded + ".\nx"]) == [("mit-header", "mit")] * 2
+
+
 @pytest.mark.parametrize("head", [lm_score.HEAD, 50])
 def test_lm_score(docs, rows, empty, head):
     tokens = [(k, [*words((t or "").translate(LOWER)), None]) for k, t in rows]
