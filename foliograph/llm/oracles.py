@@ -104,10 +104,53 @@ from documents left join n using (doc_id) left join f using (doc_id) left join m
 """
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = f"""
+with i as (select item_id, {TERMS} w from benchmark),
+wins as (
+  select item_id, 10 m, array_to_string(w[p:p + 9], ' ') k
+  from (select item_id, w, unnest(range(1, len(w) - 8)) p from i where len(w) >= 10)
+  union select item_id, len(w), array_to_string(w, ' ') from i where len(w) between 1 and 9),
+d as (select doc_id, {TERMS} w from documents),
+places as (
+  select doc_id, m, p, array_to_string(w[p:p + m - 1], ' ') k
+  from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) p from d join (select distinct m from wins) on len(w) >= m)),
+found as (select doc_id, m, p, item_id from places join wins using (m, k)),
+words as (
+  select doc_id, count(distinct x) n from (select doc_id, unnest(range(p, p + m)) x from (select distinct doc_id, p, m from found))
+  group by 1),
+named as (
+  select doc_id, count(*) n, string_agg(i, ',' order by i) ids
+  from (select distinct doc_id, cast(item_id as varchar) i from found) group by 1)
+select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(words.n, 0) as bigint) n_hit,
+  cast(coalesce(named.n, 0) as bigint) n_items, sha256(coalesce(ids, '')) items_sha256,
+  coalesce(words.n, 0) > 0 contaminated
+from d left join words using (doc_id) left join named using (doc_id)
+"""
+
+LEXICAL_SEARCH = f"""
+with d as (select doc_id, {TERMS} w from documents),
+t as (select doc_id, x, count(*) tf from (select doc_id, unnest(w) x from d) group by 1, 2),
+c as (select count(*) n, cast(sum(len(w)) as bigint) l from d where len(w) > 0),
+f as (select x, cast(floor(1000 * ln((2 * any_value(c.n) + 2) / (2 * count(*) + 1))) as bigint) weight from t, c group by 1),
+m as (select doc_id, 75 + (25 * len(w) * c.n) // c.l m from d, c),
+q as (select item_id, x, count(*) times from (select item_id, unnest({TERMS}) x from benchmark) group by 1, 2),
+s as (
+  select item_id, doc_id, cast(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) score
+  from q join f using (x) join t using (x) join m using (doc_id) group by 1, 2),
+r as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) "rank" from s where score > 0)
+select item_id, "rank", doc_id, score from r where "rank" <= 20
+"""
+
+
 ORACLES = {
     "op1_quality_rules": QUALITY_RULES,
     "op2_chat_tree": CHAT_TREE,
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op6_top_k": TOP_K,
     "op8_license_scan": _license_scan(),
+    "op12_decontamination": DECONTAMINATION,
+    "op13_lexical_search": LEXICAL_SEARCH,
 }

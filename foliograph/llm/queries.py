@@ -9,10 +9,13 @@ from foliograph.llm import (
     ball_tree,
     byte_bpe,
     chat_tree,
+    decontamination,
+    lexical_search,
     license_scan,
     lm_score,
     near_dup,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     substring_dedup,
@@ -73,6 +76,33 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: every tenth document by its id's checksum ends in repetitions of a stretch of its own."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(checksum % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    rows = docs.select("doc_id", "text", words.alias("words"), F.floor(checksum / 10).alias("g"))
+    n = F.size("words")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    planted = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))),
+    )
+    return rows.select("doc_id", F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic_runs.run_digests(with_planted_periods(table(spark, sf, "documents")))
+
+
+def op12_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_tree": op2_chat_tree,
@@ -84,4 +114,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_lm_score": op9_lm_score,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_decontamination": op12_decontamination,
+    "op13_lexical_search": op13_lexical_search,
 }

@@ -75,15 +75,23 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+# Terms are runs of digits, letters and bytes outside ASCII; a-z only, so texts are lower-cased first.
+TERM_BYTES = np.zeros(256, np.bool_)
+TERM_BYTES[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
+def split_words(
+    data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = _IN_WORD
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``starts, ends`` of all words, and per text the number of its first word.
 
-    The last entry of the third array is the number of words.
+    The last entry of the third array is the number of words.  A word is a run
+    of bytes for which ``word_bytes`` holds.
     """
     if not len(data):
         none = np.empty(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    inside = _IN_WORD[data]
+    inside = word_bytes[data]
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
