@@ -8,6 +8,7 @@ Spark plans.
 from __future__ import annotations
 
 from foliograph.checks.queries import (
+    CODED_DEPTH,
     FILTER_CATEGORIES,
     LETTERS,
     NEIGHBOURS,
@@ -15,12 +16,14 @@ from foliograph.checks.queries import (
     PAGE_AFTER,
     PAGE_LIMIT,
     PAGE_OFFSET,
+    PROBED_TENTHS,
     REFUSED,
     SAMPLE_FRAC,
     SAMPLE_SIZE,
     SEED,
 )
 from foliograph.operators.approximate import BITS, DEPTH
+from foliograph.operators.inverted_file import ROUNDS, SCALE, STEPS
 
 _RAW_COLUMNS = (
     "arxiv_id, title, abstract, authors, categories, primary_category, "
@@ -309,6 +312,62 @@ _step("nearest_true", ("pair",), f"""
     qualify row_number() over (partition by label order by distance, vec_id) <= {NEIGHBOURS}""")
 
 
+_GRID = f"floor(x / sqrt(sum(x * x) over (partition by {{key}})) * {SCALE} + 0.5)"
+
+_step("grid", ("dimension",), f"""
+    select vec_id, position, {_GRID.format(key="vec_id")} as z from dimension""")
+
+_step("asked_grid", ("centroid",), f"""
+    select label, position, {_GRID.format(key="label")} as z from centroid""")
+
+_step("cell0", ("grid",), """
+    select cell, position, z as c
+    from (select vec_id, row_number() over (order by md5(cast(vec_id as varchar))) - 1 as cell
+          from (select distinct vec_id from grid)) join grid using (vec_id)
+    where cell < (select floor(sqrt(count(distinct vec_id)) + 0.5) from grid)""")
+
+for _round in range(ROUNDS + 1):
+    _step(f"placed{_round}", ("grid", f"cell{_round}"), f"""
+    select vec_id, cell
+    from (select vec_id, cell, sum(c * c - 2 * z * c) as d
+          from grid join cell{_round} using (position) group by vec_id, cell)
+    qualify row_number() over (partition by vec_id order by d, cell) = 1""")
+    _step(f"cell{_round + 1}", ("grid", f"cell{_round}", f"placed{_round}"), f"""
+    select cell, position, coalesce(mean, c) as c
+    from cell{_round} left join (
+        select cell, position, floor((2 * sum(z) + count(*)) / (2 * count(*))) as mean
+        from placed{_round} join grid using (vec_id) group by cell, position) using (cell, position)""")
+
+_CELLS, _PLACED = f"cell{ROUNDS}", f"placed{ROUNDS}"
+
+_step("residual", ("grid", _CELLS, _PLACED), f"""
+    select vec_id, position, cell, c, z - c as r, max(abs(z - c)) over (partition by cell) as reach
+    from {_PLACED} join grid using (vec_id) join {_CELLS} using (cell, position)""")
+
+_step("decoded", ("residual",), f"""
+    select vec_id, position, cell,
+           c - reach + floor((2 * floor((r + reach) * {STEPS} / (2 * reach + 1)) + 1) * (2 * reach + 1) / {2 * STEPS}) as y
+    from residual""")
+
+_step("probed", ("asked_grid", _CELLS, _PLACED), f"""
+    select label, cell
+    from (select label, cell, sum(c * c - 2 * z * c) as d
+          from asked_grid join {_CELLS} using (position)
+          where cell in (select cell from {_PLACED}) group by label, cell)
+    qualify row_number() over (partition by label order by d, cell)
+            <= (select ceil({PROBED_TENTHS} * count(distinct cell) / 10) from {_PLACED})""")
+
+_step("coded", ("probed", "decoded", "asked_grid"), """
+    select label, vec_id, sum(z * y) as score
+    from probed join decoded using (cell) join asked_grid using (label, position) group by label, vec_id""")
+
+_step("coded_found", ("coded", "pair"), f"""
+    select label, vec_id from pair join (
+        select label, vec_id from coded
+        qualify row_number() over (partition by label order by score desc, vec_id) <= {CODED_DEPTH}) using (label, vec_id)
+    qualify row_number() over (partition by label order by distance, vec_id) <= {NEIGHBOURS}""")
+
+
 def _sample(limit: str) -> str:
     columns = ", ".join(f"coalesce(length({c.strip()}) || ':' || {c.strip()}, '-')" for c in _RAW_COLUMNS.split(","))
     return _query(
@@ -463,6 +522,18 @@ ORACLES: dict[str, str] = {
         "nearest_true",
         "nearest_found",
     ),
+    "inverted_recall": _query(
+        f"""select expected, found, round(found / expected, 6) as recall,
+                  round(coded / pairs, 6) as coded_share, round(measured / pairs, 6) as measured_share,
+                  round((coded / 8 + measured) / pairs, 6) as bytes_share
+           from (select (select count(*) from nearest_true) as expected,
+                        (select count(*) from nearest_true join coded_found using (label, vec_id)) as found,
+                        (select count(*) from coded) as coded,
+                        (select sum(least(n, {CODED_DEPTH})) from (select count(*) as n from coded group by label)) as measured,
+                        (select count(*) from pair) as pairs)""",
+        "nearest_true",
+        "coded_found",
+    ),
     "query_text": _query("select question_id, query_text from asked", "asked"),
     "knn_text": _query(
         """select question_id, rank, chunk_id, chunk_text, arxiv_id, title, category, year,

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from foliograph.functions.text import py_words, word_count
 from foliograph.functions.vectors import postings, unit
 from foliograph.operators.approximate import approximate_nearest, candidates, with_sketch
+from foliograph.operators.inverted_file import build_inverted_file
 from foliograph.operators.knn import nearest
 from foliograph.operators.sampling import sample_rows
 from foliograph.plans import adapter, clean, index, qa, retrieval, stats, summaries
 from foliograph.plans.embed import embed
 from foliograph.plans.listing import list_papers, list_papers_after, with_page_count
-from foliograph.session import scratch_path
+from foliograph.session import kept, scratch_path
 from foliograph.sources.chunk_store import ChunkStore, merged
 from foliograph.sources.delimited import read_records, write_records
 from foliograph.sources.documents import read_questions, write_json
@@ -32,6 +33,8 @@ SEED = 42
 PAGE_LIMIT, PAGE_OFFSET = 50, 10
 PAGE_AFTER = (2015, "5")
 NEIGHBOURS = 8
+CODED_DEPTH = 32  # codes measured exactly per query
+PROBED_TENTHS = 8  # cells probed, of ten; the vectors are spread evenly, without clusters
 OLD_CHUNKS = (100, 20)  # size and overlap of the chunks already stored
 LETTERS = "eatn"  # counted by the stand-in for an external model
 REFUSED = " category en.src"  # texts with this are refused by it
@@ -208,6 +211,35 @@ def ann_recall(spark, sf):
     )
 
 
+def inverted_recall(spark, sf):
+    """Recall of the inverted file, and what it reads per query: codes of half a byte a dimension, and vectors of four."""
+    vectors = adapter.vectors(spark, sf)
+    centroids = _centroids(vectors)
+    built = build_inverted_file(vectors, scratch_path(spark, "inverted"), id_col="vec_id")
+    probes = -(-PROBED_TENTHS * len(built.centroids) // 10)
+    found = built.search(centroids, NEIGHBOURS, probes=probes, depth=CODED_DEPTH).select("query_key", "vec_id")
+    exact = nearest(vectors, centroids, NEIGHBOURS, id_col="vec_id").select("query_key", "vec_id")
+    hits = exact.join(found.withColumn("hit", F.lit(1)), ["query_key", "vec_id"], "left")
+    hits = kept(hits.groupBy("query_key").agg(F.count("*").alias("expected"), F.count("hit").alias("found")))
+    read = built.probes_of(centroids, probes).join(built.sizes(), "cell").groupBy("query_key").agg(F.sum("vectors").alias("coded"))
+    total = vectors.agg(F.count("*")).scalar()
+    sums = hits.join(read, "query_key").agg(
+        F.sum("expected").alias("expected"),
+        F.sum("found").alias("found"),
+        F.sum("coded").alias("coded"),
+        F.sum(F.least("coded", F.lit(CODED_DEPTH))).alias("measured"),
+        (F.count("*") * total).alias("pairs"),
+    )
+    return sums.select(
+        "expected",
+        "found",
+        F.round(F.col("found") / F.col("expected"), 6).alias("recall"),
+        F.round(F.col("coded") / F.col("pairs"), 6).alias("coded_share"),
+        F.round(F.col("measured") / F.col("pairs"), 6).alias("measured_share"),
+        F.round((F.col("coded") / 8 + F.col("measured")) / F.col("pairs"), 6).alias("bytes_share"),
+    )
+
+
 def query_text(spark, sf):
     rows = qa.with_query_text(adapter.questions(spark, sf))
     return rows.select(F.col("id").alias("question_id"), "query_text")
@@ -429,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "l2_normalize": l2_normalize,
     "knn_vectors": knn_vectors,
     "ann_recall": ann_recall,
+    "inverted_recall": inverted_recall,
     "query_text": query_text,
     "knn_text": knn_text,
     "rag_filter": rag_filter,

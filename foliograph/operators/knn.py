@@ -9,19 +9,19 @@ task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from foliograph.functions.vectors import HASH_DIM
+from foliograph.session import scratch_path
 
 # Queries one task holds at a time: the bound under which they are broadcast.
 # Hashed vectors have a fixed small width, others may be several times wider.
 QUERY_BLOCK = 4096
 HASHED_QUERY_BLOCK = 16_384
-# Vectors in one group of the grid that is used beyond that bound.
-SLICE_ROWS = 20_000
 # Entries of one distance matrix.
 CELLS = 2_000_000
 # Slack under which a matrix product may differ from the exact dot product.
@@ -36,15 +36,15 @@ def nearest(
     id_col: str = "chunk_id",
     vector_col: str = "embedding",
     query_block: int | None = None,
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``query_key, <id_col>, distance, rank`` for the ``k`` nearest vectors.
 
     ``queries`` holds distinct ``query_key`` strings with vectors of the same
     form: hashed structs, arrays of numbers or packed bits.  Equal distances rank by id.
 
-    The query side is counted first: up to ``query_block`` queries go to all
-    tasks, more are paired with the vectors as a grid of bounded groups.
+    The query side is counted first.  Blocks of about ``query_block`` queries go
+    to all tasks one after the other; vectors are read once per block, where
+    they lie, and never shuffled.
     """
     if k < 1:
         raise ValueError("k must be positive")
@@ -63,12 +63,8 @@ def nearest(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    count = asked.count()
-    if count <= query_block:
-        found = _broadcast_scan(side, asked.toArrow(), k, schema, vector_col)
-    else:
-        blocks, slices = -(-count // query_block), max(1, -(-side.count() // slice_rows))
-        found = _grid_scan(side, asked, k, schema, vector_col, blocks, slices)
+    scans = [_broadcast_scan(side, block, k, schema, vector_col) for block in query_blocks(asked, query_block)]
+    found = reduce(DataFrame.unionByName, scans) if scans else side.sparkSession.createDataFrame([], schema)
     order = Window.partitionBy("query_key").orderBy("distance", id_col)
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -79,21 +75,32 @@ def _storage(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("array<double>").alias(name) if isinstance(kind, T.ArrayType) else F.col(name)
 
 
-def _share(key: str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-
+def query_blocks(asked: DataFrame, query_block: int) -> Iterator[pa.Table]:
+    """``asked`` in blocks of about ``query_block`` rows, dealt by key; none if it has no rows.
 
-def _each(parts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    Several blocks are taken from a stored copy, so the queries are made once.
+    """
+    count = asked.count()
+    if not count:
+        return
+    if count <= query_block:
+        yield asked.toArrow().combine_chunks()
+        return
+    path = scratch_path(asked.sparkSession, "queries")
+    blocks = -(-count // query_block)
+    block = F.pmod(F.xxhash64("query_key"), F.lit(blocks)).cast("int")
+    asked.withColumn("_block", block).repartition("_block").write.partitionBy("_block").parquet(path)
+    stored = asked.sparkSession.read.parquet(path)
+    for number in range(blocks):
+        held = stored.filter(F.col("_block") == number).drop("_block").toArrow()
+        if held.num_rows:
+            yield held.combine_chunks()
 
 
 def _broadcast_scan(
     side: DataFrame, queries: pa.Table, k: int, schema: T.StructType, vector_col: str
 ) -> DataFrame:
-    spark = side.sparkSession
-    if queries.num_rows == 0:
-        return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast(queries.combine_chunks())
+    shared = side.sparkSession.sparkContext.broadcast(queries)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(shared.value, vector_col, k)
@@ -104,33 +111,6 @@ def _broadcast_scan(
     return side.mapInArrow(scan, schema)
 
 
-def _grid_scan(
-    side: DataFrame,
-    asked: DataFrame,
-    k: int,
-    schema: T.StructType,
-    vector_col: str,
-    blocks: int,
-    slices: int,
-) -> DataFrame:
-    """Each of ``blocks`` query blocks meets each of ``slices`` shares of the vectors."""
-    id_col = side.columns[0]
-    left = side.withColumn("_slice", _share(id_col, slices)).withColumn("_block", _each(blocks))
-    right = asked.withColumn("_block", _share("query_key", blocks)).withColumn("_slice", _each(slices))
-
-    def pair(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        found_schema = pa.schema(
-            [("query_key", pa.string()), vectors.schema.field(id_col), ("distance", pa.float64())]
-        )
-        best = Best(queries.combine_chunks(), vector_col, k)
-        for batch in vectors.to_batches():
-            best.add(batch)
-        return pa.Table.from_batches(best.batches(), found_schema)
-
-    keys = ["_block", "_slice"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, schema)
-
-
 class Best:
     """The ``k`` nearest vectors seen so far for each query of a block."""
 

@@ -57,12 +57,17 @@ def test_hashed_search_is_exact(spark, k):
     assert collected(nearest(vectors, queries, k, id_col="id")) == brute(vectors, queries, k)
 
 
-def test_many_queries_use_the_grid_with_equal_results(spark):
-    vectors = hashed(spark, texts(150, 3, copies=70), "id")
+def test_blocks_of_queries_move_no_vector(spark, tmp_path):
+    hashed(spark, texts(150, 3, copies=70), "id").select("id", "embedding").write.parquet(str(tmp_path / "v"))
+    vectors = spark.read.parquet(str(tmp_path / "v"))
     queries = hashed(spark, texts(40, 4), "query_key")
-    grid = nearest(vectors, queries, 6, id_col="id", query_block=7, slice_rows=40)
-    assert collected(grid) == brute(vectors, queries, 6)
-    assert "FlatMapCoGroupsInArrow" in grid._jdf.queryExecution().executedPlan().toString()
+    blocks = nearest(vectors, queries, 6, id_col="id", query_block=7)
+    assert collected(blocks) == brute(vectors, queries, 6)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 6
+    for line in plan.splitlines():
+        if "Exchange" in line:
+            assert "embedding" not in line and "hashpartitioning(query_key" in line
 
 
 def test_ties_do_not_depend_on_partitioning(spark):
@@ -95,7 +100,7 @@ def test_dense_search_with_copies(spark):
     matrix = np.concatenate([base, np.tile(base[5], (60, 1)), np.zeros((1, 33))])
     queries = np.concatenate([rng.normal(size=(6, 33)), base[5:6]])
     vectors = dense(spark, matrix, "id").repartition(4)
-    for options in ({}, {"query_block": 2, "slice_rows": 30}):
+    for options in ({}, {"query_block": 2}):
         found = collected(nearest(vectors, dense(spark, queries, "query_key"), 10, id_col="id", **options))
         for i, q in enumerate(queries):
             norms = np.linalg.norm(matrix, axis=1) * np.linalg.norm(q)
