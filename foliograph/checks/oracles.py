@@ -541,6 +541,9 @@ ORACLES: dict[str, str] = {
            from hit""",
         "hit",
     ),
+    "knn_blocks": _query(
+        "select question_id, rank, chunk_id, round(distance, 6) as distance from hit", "hit"
+    ),
     "rag_filter": _query(
         """select question_id, rank, chunk_id, category, year, round(distance, 6) as distance
            from kept""",

@@ -255,6 +255,17 @@ def knn_text(spark, sf):
     )
 
 
+def knn_blocks(spark, sf):
+    """The hits of ``knn_text`` by the blocks' largest weights."""
+    path = scratch_path(spark, "blocks")
+    store = ChunkStore(spark, scratch_path(spark, "index"))
+    index.build_index(_papers(spark, sf), store)
+    blocks = index.block_index(store, path)
+    asked = qa.with_query_text(adapter.questions(spark, sf)).select(F.col("id").alias("question_id"), "query_text")
+    hits = retrieval.retrieve(asked, store.read(), NEIGHBOURS, search=blocks.nearest)
+    return hits.select("question_id", F.col("rank").cast("bigint").alias("rank"), "chunk_id", F.round("distance", 6).alias("distance"))
+
+
 def rag_filter(spark, sf):
     found = qa.questions_with_hits(adapter.questions(spark, sf), _index(spark, sf))
     return found.select(F.col("id").alias("question_id"), F.inline("kept")).select(
@@ -464,6 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inverted_recall": inverted_recall,
     "query_text": query_text,
     "knn_text": knn_text,
+    "knn_blocks": knn_blocks,
     "rag_filter": rag_filter,
     "rag_sources": rag_sources,
     "answers": answers,

@@ -26,10 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from foliograph.functions.vectors import dense_vector
-from foliograph.operators.knn import QUERY_BLOCK, _cosine, _matrix, _squares, query_blocks
+from foliograph.operators.knn import QUERY_BLOCK, _cosine, _matrix, _squares, _storage, query_blocks
 from foliograph.session import kept, scratch_path
 
 # The grid: a component of a unit vector in 1/1024.
@@ -65,13 +64,6 @@ def _cells_by_distance(points: np.ndarray, centroids: np.ndarray, keep: int) ->
             yield np.argsort(distance, axis=1, kind="stable")[:, :keep]
 
 
-def _dense(df: DataFrame, name: str) -> Column:
-    """Hashed vectors as dense ones, others as doubles."""
-    if isinstance(df.schema[name].dataType, T.StructType):
-        return dense_vector(name)
-    return F.col(name).cast("array<double>")
-
-
 def _map(df: DataFrame, schema: str | T.StructType, make) -> DataFrame:
     """Rows of ``make(batch)``."""
 
@@ -186,7 +178,7 @@ def build_inverted_file(
 
 
 def _present(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    return vectors.filter(F.col(vector_col).isNotNull()).select(id_col, _dense(vectors, vector_col).alias("vector"))
+    return vectors.filter(F.col(vector_col).isNotNull()).select(id_col, _storage(vectors, vector_col).alias("vector"))
 
 
 def _placed(rows: DataFrame, centroids: np.ndarray) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
@@ -265,7 +257,7 @@ class InvertedFile:
 
     def probes_of(self, queries: DataFrame, probes: int, *, vector_col: str = "embedding", query_block: int = QUERY_BLOCK) -> DataFrame:
         """``query_key, cell``: the cells a search opens for each query."""
-        asked = queries.filter(F.col(vector_col).isNotNull()).select("query_key", _dense(queries, vector_col).alias("vector"))
+        asked = queries.filter(F.col(vector_col).isNotNull()).select("query_key", _storage(queries, vector_col).alias("vector"))
         rows = [
             (key, int(cell))
             for block in query_blocks(asked, query_block)
@@ -298,7 +290,7 @@ class InvertedFile:
         """
         if not 1 <= k <= depth:
             raise ValueError("k must be positive and at most depth")
-        asked = queries.filter(F.col(vector_col).isNotNull()).select("query_key", _dense(queries, vector_col).alias("vector"))
+        asked = queries.filter(F.col(vector_col).isNotNull()).select("query_key", _storage(queries, vector_col).alias("vector"))
         schema = T.StructType(
             [
                 T.StructField("query_key", T.StringType()),

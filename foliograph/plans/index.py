@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from foliograph.functions.text import py_strip, py_words, status_label, strict_integer
+from foliograph.operators.block_max import BlockIndex, build_blocks
 from foliograph.operators.inverted_file import InvertedFile, build_inverted_file
 from foliograph.plans.embed import embed
 from foliograph.sources.chunk_store import ChunkStore
@@ -120,10 +121,15 @@ def ensure_index(papers: DataFrame, store: ChunkStore, **options) -> DataFrame:
 
 
 def inverted_index(store: ChunkStore, path: str, **options) -> InvertedFile:
-    """An inverted file of the stored chunks' vectors, for ``retrieve(..., inverted=...)``."""
+    """An inverted file of the stored chunks' vectors; its ``search`` can take the place of the exact one."""
     return build_inverted_file(store.read(), path, **options)
 
 
+def block_index(store: ChunkStore, path: str, **options) -> BlockIndex:
+    """Blocks of the stored chunks' hashed vectors with their largest weights; same hits as the exact search."""
+    return build_blocks(store.read(), path, **options)
+
+
 def index_health(spark: SparkSession, store: ChunkStore, backend: str = "hashed") -> DataFrame:
     """One row: stored chunks and the configuration in use."""
     return spark.createDataFrame(

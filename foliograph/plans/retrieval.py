@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foliograph.functions.text import py_strip
-from foliograph.operators.inverted_file import DEPTH, InvertedFile
 from foliograph.operators.knn import nearest
 from foliograph.operators.lookup import rows_for
 from foliograph.plans.embed import embed
@@ -53,16 +54,16 @@ def hits_by_text(
     k: int,
     backend: str = "hashed",
     query_block: int | None = None,
-    inverted: InvertedFile | None = None,
-    probes: int | None = None,
+    search: Callable[[DataFrame, int], DataFrame] | None = None,
     **options,
 ) -> DataFrame:
     """``query_key, hits, error`` per distinct non-blank ``query_text``.
 
     ``hits`` is an array of at most ``k`` structs in rank order.  Copies of a
     text are searched once.  The search reads ids and vectors only; texts and
-    metadata are fetched for the winners.  The exact search is replaced by that
-    of an ``inverted`` file of the same chunks, if one is given.
+    metadata are fetched for the winners.  A ``search`` of queries and ``k``
+    takes the place of the exact scan, such as ``InvertedFile.search`` or
+    ``BlockIndex.nearest`` over the same chunks.
     """
     distinct = (
         texts.select(py_strip("query_text").alias("query_text"))
@@ -75,10 +76,7 @@ def hits_by_text(
         # The model must be asked once, not once per use of its answer.
         asked = kept(asked)
     # Kept, so that the search runs once and its size is known.
-    if inverted is None:
-        found = kept(nearest(chunks, asked, k, query_block=query_block))
-    else:
-        found = kept(inverted.search(asked, k, probes=probes, depth=max(DEPTH, 4 * k)))
+    found = kept(search(asked, k) if search else nearest(chunks, asked, k, query_block=query_block))
     wanted = [f for f in HIT_FIELDS if f not in ("rank", "distance")]
     if found.count() <= BROADCAST_ROWS:
         rows = rows_for(chunks, found, "chunk_id", wanted)

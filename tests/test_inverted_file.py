@@ -1,5 +1,7 @@
 """The inverted file: coding, pruning by cell, recall, and equality with the exact search."""
 
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -151,7 +153,7 @@ def test_chunks_are_retrieved_through_an_inverted_file(spark, sf, tmp_path):
     chunks = index.ensure_index(clean.clean_papers(clean.raw_papers(adapter.paper_records(spark, sf))), store)
     built = index.inverted_index(store, str(tmp_path / "inverted"))
     asked = adapter.questions(spark, sf).select(F.col("question").alias("query_text"), "id")
-    whole = retrieval.retrieve(asked, chunks, 3, inverted=built, probes=10_000)
+    whole = retrieval.retrieve(asked, chunks, 3, search=partial(built.search, probes=10_000))
     want = retrieval.retrieve(asked, chunks, 3)
     assert whole.columns == want.columns
     key = ["id", "rank", "chunk_id"]
