@@ -535,11 +535,14 @@ ORACLES: dict[str, str] = {
         "coded_found",
     ),
     "query_text": _query("select question_id, query_text from asked", "asked"),
-    "knn_text": _query(
-        """select question_id, rank, chunk_id, chunk_text, arxiv_id, title, category, year,
-                  pub_status, first_author, round(distance, 6) as distance
-           from hit""",
-        "hit",
+    **dict.fromkeys(
+        ("knn_text", "knn_organised"),
+        _query(
+            """select question_id, rank, chunk_id, chunk_text, arxiv_id, title, category, year,
+                      pub_status, first_author, round(distance, 6) as distance
+               from hit""",
+            "hit",
+        ),
     ),
     "knn_blocks": _query(
         "select question_id, rank, chunk_id, round(distance, 6) as distance from hit", "hit"

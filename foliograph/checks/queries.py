@@ -20,7 +20,7 @@ from foliograph.plans import adapter, clean, index, qa, retrieval, stats, summar
 from foliograph.plans.embed import embed
 from foliograph.plans.listing import list_papers, list_papers_after, with_page_count
 from foliograph.session import kept, scratch_path
-from foliograph.sources.chunk_store import ChunkStore, merged
+from foliograph.sources.chunk_store import ChunkStore
 from foliograph.sources.delimited import read_records, write_records
 from foliograph.sources.documents import read_questions, write_json
 from foliograph.sources.tables import CLEAN_TABLES, RAW_TABLE, ensure_clean_tables, replace_table
@@ -144,10 +144,23 @@ def chunks(spark, sf):
 
 
 def chunk_append(spark, sf):
-    """Published papers are stored with shorter chunks first; then everything is appended."""
+    """Published papers are stored with shorter chunks first; then everything is appended, twice."""
     eligible = _eligible(spark, sf)
-    stored = index.chunk_papers(eligible.filter("pub_status = 'Published'"), *OLD_CHUNKS)
-    return merged(index.chunk_papers(eligible), stored).select("chunk_id", "arxiv_id", "chunk_text")
+    store = ChunkStore(spark, scratch_path(spark, "append"))
+    store.replace(index.chunk_papers(eligible.filter("pub_status = 'Published'"), *OLD_CHUNKS))
+    store.append(index.chunk_papers(eligible), source="papers", batch=0)
+    store.append(index.chunk_papers(eligible), source="papers", batch=0)
+    return store.read().select("chunk_id", "arxiv_id", "chunk_text")
+
+
+def knn_organised(spark, sf):
+    """The hits of ``knn_text`` from a store sorted by id, their texts read from the files that hold them."""
+    store = ChunkStore(spark, scratch_path(spark, "index"))
+    index.build_index(_papers(spark, sf), store)
+    store.organise()
+    asked = qa.with_query_text(adapter.questions(spark, sf)).select(F.col("id").alias("question_id"), "query_text")
+    hits = retrieval.retrieve(asked, store.read(), NEIGHBOURS, keyed=store.keyed_files())
+    return hits.drop("query_text").withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.round("distance", 6)})
 
 
 def index_summary(spark, sf):
@@ -476,6 +489,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "query_text": query_text,
     "knn_text": knn_text,
     "knn_blocks": knn_blocks,
+    "knn_organised": knn_organised,
     "rag_filter": rag_filter,
     "rag_sources": rag_sources,
     "answers": answers,

@@ -95,18 +95,21 @@ def build_index(
     size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     backend: str = "hashed",
+    source: str | None = None,
+    batch: int | None = None,
     **options,
 ) -> DataFrame:
     """Embed all eligible papers into the store; known chunk ids are kept as they are.
 
-    Returns the build summary: eligible papers and the chunks they give.
+    Known chunks leave before the vectors are made, and a ``batch`` of a
+    ``source`` that was added before is not looked at.  Returns the build
+    summary: eligible papers and the chunks they give.
     """
     chunks = chunk_papers(eligible_papers(papers), size, overlap)
     if reset:
         store.replace(with_vectors(chunks, backend, **options))
     else:
-        # Known chunks leave before the vectors are made.
-        store.add(with_vectors(store.unseen(chunks), backend, **options))
+        store.append(chunks, lambda new: with_vectors(new, backend, **options), source, batch)
     made = _window_count(F.size(py_words("abstract")), size, size - overlap)
     return eligible_papers(papers).agg(
         F.count("*").alias("papers"), F.coalesce(F.sum(made), F.lit(0)).alias("chunks")
@@ -130,9 +133,10 @@ def block_index(store: ChunkStore, path: str, **options) -> BlockIndex:
     return build_blocks(store.read(), path, **options)
 
 
-def index_health(spark: SparkSession, store: ChunkStore, backend: str = "hashed") -> DataFrame:
-    """One row: stored chunks and the configuration in use."""
+def index_health(spark: SparkSession, store: ChunkStore, backend: str = "hashed", model: str = "hashed") -> DataFrame:
+    """One row: stored chunks, the back end that made them (the one asked for while there are none), and the model's name."""
+    held = store.snapshot()
     return spark.createDataFrame(
-        [("ok", store.size(), store.collection, store.path, backend)],
-        "status string, index_chunks long, collection string, path string, embedding_backend string",
+        [("ok", store.size(), store.collection, store.path, store.backend() or backend, model, held["number"] if held else 0)],
+        "status string, index_chunks long, collection string, path string, embedding_backend string, embedding_model string, snapshot long",
     )

@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from foliograph.functions.text import py_strip
 from foliograph.operators.knn import nearest
-from foliograph.operators.lookup import rows_for
+from foliograph.operators.lookup import KeyedFiles, rows_for
 from foliograph.plans.embed import embed
 from foliograph.session import kept
 
-# Hits up to which the join that fetches their texts broadcasts them.
-BROADCAST_ROWS = 200_000
-
 DEFAULT_TOP_K = 5
 MAX_TOP_K = 50
 
@@ -55,6 +52,7 @@ def hits_by_text(
     backend: str = "hashed",
     query_block: int | None = None,
     search: Callable[[DataFrame, int], DataFrame] | None = None,
+    keyed: KeyedFiles | None = None,
     **options,
 ) -> DataFrame:
     """``query_key, hits, error`` per distinct non-blank ``query_text``.
@@ -63,7 +61,8 @@ def hits_by_text(
     text are searched once.  The search reads ids and vectors only; texts and
     metadata are fetched for the winners.  A ``search`` of queries and ``k``
     takes the place of the exact scan, such as ``InvertedFile.search`` or
-    ``BlockIndex.nearest`` over the same chunks.
+    ``BlockIndex.nearest`` over the same chunks.  ``keyed`` files of an
+    organised store say where the winners are.
     """
     distinct = (
         texts.select(py_strip("query_text").alias("query_text"))
@@ -72,16 +71,16 @@ def hits_by_text(
         .dropDuplicates(["query_key"])
     )
     asked = embed(distinct, "query_text", backend, **options)
+    stored, own = (isinstance(df.schema["embedding"].dataType, T.StructType) for df in (chunks, asked))
+    if stored != own:
+        raise ValueError("the chunks' vectors were made by another back end than the queries'")
     if backend.lower() != "hashed":
         # The model must be asked once, not once per use of its answer.
         asked = kept(asked)
     # Kept, so that the search runs once and its size is known.
     found = kept(search(asked, k) if search else nearest(chunks, asked, k, query_block=query_block))
     wanted = [f for f in HIT_FIELDS if f not in ("rank", "distance")]
-    if found.count() <= BROADCAST_ROWS:
-        rows = rows_for(chunks, found, "chunk_id", wanted)
-    else:
-        rows = chunks.select(*wanted).join(found, "chunk_id")
+    rows = rows_for(chunks, found, "chunk_id", wanted, keyed=keyed)
     hits = (
         rows.filter(F.col("arxiv_id").isNotNull())
         .groupBy("query_key")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliograph.plans.clean import clean_papers
 from foliograph.plans.stats import STATISTICS, TABLE_ORDER
+from foliograph.sources.files import names, remove
 
 RAW_TABLE = "raw_papers"
 CLEAN_TABLES = ("papers", *STATISTICS)
@@ -15,9 +16,32 @@ def replace_table(df: DataFrame, name: str, order: tuple[str, ...] = ()) -> None
     """Write ``df`` as table ``name``, in ``order`` if given.
 
     Ordered tables are sorted by range, each file holding one stretch of keys.
+    The rows go to a folder of their own, and the table is pointed to it once
+    it is complete: a refresh that fails leaves the old rows, and queries that
+    read these finish.  Folders before that of the old rows are deleted.
     """
+    spark = df.sparkSession
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
-    rows.write.mode("overwrite").format("parquet").saveAsTable(name)
+    database, table = name.split(".") if "." in name else (spark.catalog.currentDatabase(), name)
+    root = f"{spark.catalog.getDatabase(database).locationUri}/{table}.versions"
+    number = max([int(n) for n in names(spark, root) if n.isdigit()], default=0) + 1
+    folder = f"{root}/{number:012d}"
+    rows.write.parquet(folder)
+    exists = spark.catalog.tableExists(name)
+    before = _location(spark, name) if exists else ""
+    if exists and spark.table(name).schema == spark.read.parquet(folder).schema:
+        spark.sql(f"alter table {name} set location '{folder}'")
+    else:
+        spark.sql(f"drop table if exists {name}")
+        spark.sql(f"create table {name} using parquet location '{folder}'")
+    spark.catalog.refreshTable(name)
+    for old in names(spark, root):
+        if old.isdigit() and int(old) < number and not before.endswith(f"/{table}.versions/{old}"):
+            remove(spark, f"{root}/{old}")
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"describe table extended {name}").filter("col_name = 'Location'").first()["data_type"]
 
 
 def require_tables(spark: SparkSession, *names: str) -> None:
