@@ -14,7 +14,7 @@ from foliograph.sources.tables import papers_table
 
 # Columns of a stored answer.
 ANSWER_SCHEMA = (
-    "question_id int, question string, answer string, sources array<struct<arxiv_id: string, "
+    "question_id variant, question string, answer string, sources array<struct<arxiv_id: string, "
     "title: string, category: string, year: bigint, pub_status: string, distance: double>>, "
     "model_used string, category_filter string, year_filter string"
 )

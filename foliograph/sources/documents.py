@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from foliograph.sources.json_objects import split_objects
+
+# An id is kept as it is given, a number as a number and a text as a text.
 QUESTION_SCHEMA = (
-    "id int, question string, category_filter string, year_filter string, "
+    "id variant, question string, category_filter string, year_filter string, "
     "grading struct<type: string, must_contain_any: array<string>, min_keyword_hits: int>"
 )
 
@@ -13,9 +16,12 @@ QUESTION_SCHEMA = (
 def read_questions(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
     """A question list: one JSON array per file, or one object per line.
 
-    A broken file or an id that is no integer is an error.  An array file is read by one task; a long list should use lines.
+    A broken file is an error.  Both forms are read by many tasks.
     """
-    return spark.read.schema(QUESTION_SCHEMA).option("multiLine", not json_lines).option("mode", "FAILFAST").json(path)
+    if json_lines:
+        return spark.read.schema(QUESTION_SCHEMA).option("mode", "FAILFAST").json(path)
+    parsed = F.from_json("text", QUESTION_SCHEMA, {"mode": "FAILFAST"})
+    return split_objects(spark, path).select(parsed.alias("q")).select("q.*")
 
 
 def write_json(df: DataFrame, path: str) -> None:

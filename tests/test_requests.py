@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliograph.plans import adapter, clean
 from foliograph.plans.requests import answer_file, semantic_query
@@ -30,7 +31,7 @@ def test_query_and_question_file(spark, sf, tmp_path):
     ]
     (tmp_path / "q.json").write_text(json.dumps(questions))
     answers = answer_file(spark, store, str(tmp_path / "q.json"), str(tmp_path / "a"), model="m")
-    rows = {r["question_id"]: r for r in answers.collect()}
+    rows = {r["question_id"]: r for r in answers.withColumn("question_id", F.col("question_id").cast("int")).collect()}
     assert rows[1]["question"] == "the of" and 1 <= len(rows[1]["sources"]) <= 5
     # the year text alone is still a query
     assert rows[2]["sources"] and rows[2]["model_used"] == "m" and rows[2]["category_filter"] is None

@@ -75,8 +75,13 @@ def test_questions(spark, tmp_path):
     ]
     (tmp_path / "q.json").write_text(json.dumps(items, indent=2))
     (tmp_path / "q.jsonl").write_text("\n".join(map(json.dumps, items)))
-    array = documents.read_questions(spark, str(tmp_path / "q.json")).orderBy("id").collect()
-    lines = documents.read_questions(spark, str(tmp_path / "q.jsonl"), json_lines=True).orderBy("id").collect()
+    array, lines = (
+        df.withColumn("id", F.col("id").cast("string")).orderBy("id").collect()
+        for df in (
+            documents.read_questions(spark, str(tmp_path / "q.json")),
+            documents.read_questions(spark, str(tmp_path / "q.jsonl"), json_lines=True),
+        )
+    )
     assert array == lines
     assert array[0]["grading"]["must_contain_any"] == ["a", "b"]
     assert array[1]["year_filter"] == "2021" and array[1]["grading"] is None
