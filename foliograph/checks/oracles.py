@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from foliograph.checks.queries import (
     CODED_DEPTH,
+    DEEP_OFFSET,
     FILTER_CATEGORIES,
     LETTERS,
     NEIGHBOURS,
@@ -435,6 +436,12 @@ ORACLES: dict[str, str] = {
                   limit {PAGE_LIMIT} offset {PAGE_OFFSET})""",
         "papers",
     ),
+    "paper_listing_deep": _query(
+        f"""select arxiv_id, title, primary_category as category, submitted_year as year,
+                   case pub_status when 'published' then 'Published' else 'Preprint' end as pub_status, first_author
+            from papers order by submitted_year desc, arxiv_id limit {PAGE_LIMIT} offset {DEEP_OFFSET}""",
+        "papers",
+    ),
     "chart_prep": _query(
         """select arxiv_id, primary_category, pub_status, submitted_year, abstract_word_count
            from papers""",

@@ -31,6 +31,7 @@ SAMPLE_SIZE = 250
 SAMPLE_FRAC = 0.25
 SEED = 42
 PAGE_LIMIT, PAGE_OFFSET = 50, 10
+DEEP_OFFSET, DEEP_ROWS = 120, 16  # a page beyond what its top-k may hold
 PAGE_AFTER = (2015, "5")
 NEIGHBOURS = 8
 CODED_DEPTH = 32  # codes measured exactly per query
@@ -117,6 +118,10 @@ def paper_listing(spark, sf):
     return with_page_count(list_papers(_papers(spark, sf), PAGE_LIMIT, PAGE_OFFSET))
 
 
+def paper_listing_deep(spark, sf):
+    return list_papers(_papers(spark, sf), PAGE_LIMIT, DEEP_OFFSET, top_k_rows=DEEP_ROWS)
+
+
 def chart_prep(spark, sf):
     return _prepared(spark, sf).select(
         "arxiv_id", "primary_category", "pub_status", "submitted_year", "abstract_word_count"
@@ -470,6 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_top_category": _statistic(stats.author_top_category),
     "author_stats": _statistic(stats.author_stats),
     "paper_listing": paper_listing,
+    "paper_listing_deep": paper_listing_deep,
     "chart_prep": chart_prep,
     "top_categories": lambda spark, sf: summaries.largest_categories(_prepared(spark, sf)),
     "category_pivot": lambda spark, sf: summaries.category_pivot(_prepared(spark, sf)),

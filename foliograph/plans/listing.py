@@ -18,7 +18,7 @@ def list_papers(
     _check_limit(limit)
     if offset < 0:
         raise ValueError("offset must not be negative")
-    return page(_listing(papers), _order(), limit, offset, top_k_rows)
+    return page(_listing(papers), "year", "arxiv_id", limit, offset, top_k_rows)
 
 
 def list_papers_after(

@@ -84,9 +84,24 @@ def test_pages_both_ways(papers, limit, offset):
     everything = sorted(
         (-r["submitted_year"], r["arxiv_id"]) for r in papers.collect()
     )[offset : offset + limit]
-    for bound in (100_000, 0):
+    for bound in (100_000, 40, 3, 0):
         listed = list_papers(papers, limit, offset, top_k_rows=bound)
         assert [(-r["year"], r["arxiv_id"]) for r in listed.collect()] == everything
+        plan = listed._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan  # a top-k, never a sort of all rows
+
+
+def test_deep_pages_with_odd_keys(spark):
+    """Missing years, ids that are prefixes of others, other scripts, copies of one id, and an empty listing."""
+    ids = ["", "a", "ab", "abc", "abcd", "abd", "b", "é", "漢字", "z" * 9] + [f"x{i}" for i in range(40)] + ["same"] * 30
+    rows = [(i, "T", "c", y, "published", "A") for y in (2001, 2000, -5, None) for i in ids]
+    df = spark.createDataFrame(rows, "arxiv_id string, title string, primary_category string, submitted_year bigint, pub_status string, first_author string").repartition(5)
+    want = sorted(((y is None, -(y or 0), i) for i, _, _, y, _, _ in rows), key=lambda k: (k[0], k[1], k[2].encode()))
+    for offset in (0, 1, 10, 70, 79, 80, 100, 159, 170, 241, 300, 319, 320, 500):
+        for bound in (0, 12):
+            got = list_papers(df, 25, offset, top_k_rows=bound).collect()
+            assert [(r["year"] is None, -(r["year"] or 0), r["arxiv_id"]) for r in got] == want[offset : offset + 25]
+    assert list_papers(df.limit(0), 5, 7, top_k_rows=0).count() == 0
 
 
 def test_page_count_and_labels(papers):
