@@ -656,3 +656,6 @@ ORACLES: dict[str, str] = {
         "asked",
     ),
 }
+
+# The same rows, reached another way.
+ORACLES["external_cached"] = ORACLES["external_embed"]

@@ -16,6 +16,7 @@ from foliograph.operators.approximate import approximate_nearest, candidates, wi
 from foliograph.operators.inverted_file import build_inverted_file
 from foliograph.operators.knn import nearest
 from foliograph.operators.sampling import sample_rows
+from foliograph.operators.vector_cache import VectorCache
 from foliograph.plans import adapter, clean, index, qa, retrieval, stats, summaries
 from foliograph.plans.embed import embed
 from foliograph.plans.listing import list_papers, list_papers_after, with_page_count
@@ -435,12 +436,24 @@ def letter_model(refused: str | None = None) -> Callable:
 
 
 def external_embed(spark, sf):
-    rows = embed(_chunks(spark, sf), "chunk_text", "External", factory=letter_model, normalize=True)
+    return _letter_vectors(_chunks(spark, sf))
+
+
+def _letter_vectors(chunks, **options):
+    rows = embed(chunks, "chunk_text", "External", factory=letter_model, normalize=True, **options)
     return rows.select("chunk_id", F.posexplode("embedding").alias("i", "x")).select(
         "chunk_id", (F.col("i") + 1).cast("bigint").alias("position"), F.round("x", 6).alias("value")
     )
 
 
+def external_cached(spark, sf):
+    """The vectors of ``external_embed``; those of published papers come from an earlier run's cache."""
+    cache = VectorCache(spark, scratch_path(spark, "vectors"), "letters")
+    chunks = kept(_chunks(spark, sf))
+    _letter_vectors(chunks.filter("pub_status = 'Published'"), cache=cache)
+    return _letter_vectors(chunks, cache=cache)
+
+
 def external_answers(spark, sf):
     """Answers with an external model that refuses some questions: the failure is their answer."""
     store = ChunkStore(spark, scratch_path(spark, "external"))
@@ -509,5 +522,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "collections": collections,
     "index_health": index_health,
     "external_embed": external_embed,
+    "external_cached": external_cached,
     "external_answers": external_answers,
 }

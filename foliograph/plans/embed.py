@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliograph.functions.vectors import unit, with_hashed_vector
 from foliograph.operators.batch_infer import batch_infer
+from foliograph.operators.vector_cache import VectorCache
 
 
 def hashed(df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
@@ -40,10 +41,14 @@ def external(
     factory: Callable[[], Callable],
     normalize: bool = False,
     fallback: str | None = None,
+    cache: VectorCache | None = None,
     **options,
 ) -> DataFrame:
     """Vectors of an injected model, optionally scaled to unit length.
 
+    With a ``cache`` the model is asked for texts only that it has not seen,
+    each once; the call does its work at once.
+
     ``fallback="hashed"`` switches to the hashed back end, with a warning, when
     a worker cannot create the model; without it that is an error.
     """
@@ -54,7 +59,8 @@ def external(
         if problem is not None:
             warnings.warn(f"hashed vectors are used, the model cannot be created: {problem}", stacklevel=2)
             return hashed(df, text_col, out)
-    rows = batch_infer(df, text_col, factory, out=out, **options)
+    infer = cache.infer if cache else batch_infer
+    rows = infer(df, text_col, factory, out=out, **options)
     return rows.withColumn(out, unit(out)) if normalize else rows
 
 
