@@ -315,22 +315,25 @@ def one_per_group(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row of each near-duplicate group, with all its columns.
+    """One row of each near-duplicate group, with all its columns, which may have any names.
 
     Rows of one id are one document, of which one row stays.  Rows without an
-    id stay.
+    id stay, as do null and wordless texts, which are linked with nothing.  An
+    empty table gives an empty one.
     """
+    spark = docs.sparkSession
     judged = near_duplicates(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col)
-    judged = _stored(judged.select(F.col(id_col).alias("_id"), "kept"), "neardup-judged")
-    gone = judged.filter("not kept and _id is not null").select("_id").distinct()
-    twice = judged.filter("_id is not null").groupBy("_id").agg(F.count("*").alias("n")).filter("n > 1").select("_id")
-    match = F.col(f"`{id_col}`").cast("bigint") == F.col("_id")
-
-    def side(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-    kept = docs.join(side(gone), match, "left_anti")
-    if twice.isEmpty():
-        return kept
-    again = side(twice)
-    return kept.join(again, match, "left_anti").unionByName(kept.join(again, match, "left_semi").dropDuplicates([id_col]))
+    path = scratch_path(spark, "neardup-judged")
+    judged.filter(F.col(id_col).isNotNull()).groupBy(F.col(f"`{id_col}`").cast("bigint").alias("id")).agg(
+        F.every("kept").alias("kept"), F.count("*").alias("n")
+    ).filter("not kept or n > 1").write.parquet(path)
+    marked = spark.read.parquet(path)  # ids that go, and ids of several rows
+    quoted = [F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.struct(*quoted).alias("row"))
+    side = F.broadcast(marked) if marked.count() <= BROADCAST_IDS else marked
+    kept = rows.join(side, "id", "left").filter("kept is null or kept")
+    once = kept.filter("n is null").select("row")
+    if not marked.filter("kept and n > 1").isEmpty():
+        several = kept.filter("n > 1").groupBy("id").agg(F.any_value("row").alias("row"))
+        once = once.unionByName(several.select("row"))
+    return once.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
