@@ -30,7 +30,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from foliograph.llm.fm_index import FmIndex, matching_statistics
 from foliograph.llm.shingles import windows
@@ -227,7 +227,8 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *carried: Column) -> Dat
 def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFrame:
     """``k1, k2, runs``: per document with repeated windows the (first word, mask) of its stretches."""
     counts = keyed.select("text").mapInArrow(lambda b: _anchor_counts(b, length), "anchor bigint, n bigint")
-    again = counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
+    # Stored, so that the joins meet plain shuffles, whose hot keys are split.
+    again = _stored(counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "substring-anchors")
     stretches = _stored(
         keyed.mapInArrow(
             lambda b: _stretches(b, length), "anchor bigint, content bigint, k1 bigint, k2 bigint, place bigint"
@@ -251,8 +252,9 @@ def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFra
         F.shiftright("seen.place", _COUNT_BITS).alias("start"),
         windows_of.cast("bigint").alias("count"),
     )
-    wanted = search.groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("anchor", "content", "start", "count")).alias("stretches")
+    wanted = _stored(
+        search.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "content", "start", "count")).alias("stretches")),
+        "substring-wanted",
     )
     # Equal rows (id and text) give their stretches more than once.
     content = (
@@ -270,9 +272,10 @@ def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFra
     ).distinct()
     twice = single.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
     dealt = single.join(twice, ["w1", "w2"], "left_semi").select("anchor", "content", F.col("bit").alias("mask"))
-    found = (
+    found = _stored(
         whole.unionByName(masks).unionByName(dealt)
-        .groupBy("anchor", "content").agg(F.bit_or("mask").alias("mask")).filter("mask <> 0")
+        .groupBy("anchor", "content").agg(F.bit_or("mask").alias("mask")).filter("mask <> 0"),
+        "substring-found",
     )
     return (
         stretches.join(found, ["anchor", "content"])
@@ -282,7 +285,8 @@ def repeated_windows(keyed: DataFrame, length: int, wide: int = WIDE) -> DataFra
             "mask",
         )
         .groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct("start", "mask")).alias("runs"))
+        # Equal rows have the same runs: a set holds them once.
+        .agg(F.collect_set(F.struct("start", "mask")).alias("runs"))
     )
 
 
@@ -371,12 +375,25 @@ def without_repeats(
 def cut_documents(
     docs: DataFrame, length: int = 35, *, id_col: str = "doc_id", text_col: str = "text", wide: int = WIDE
 ) -> DataFrame:
-    """All rows and columns of ``docs``; texts with repeats become their kept words joined by one space."""
+    """All rows and columns of ``docs``; texts with repeats become their kept words joined by one space.
+
+    Columns may have any names and stay in order.  Nulls, short and repeated
+    texts and empty tables as in ``without_repeats``; a text that loses nothing
+    stays byte for byte.
+    """
     others = [c for c in docs.columns if c != text_col]
-    doc = F.struct(*[F.col(f"`{c}`") for c in others]).alias("doc")
-    rows = _with_runs(docs, length, id_col, text_col, wide, doc).select("doc", "text", "runs")
-    kind = rows.schema["doc"].dataType.simpleString()
-    cut = rows.mapInArrow(
-        lambda b: _cut(b, length, True), f"id {kind}, n_words bigint, n_removed bigint, kept string"
+    quoted = [F.col("`" + c.replace("`", "``") + "`").alias(f"c{i}") for i, c in enumerate(others)]
+    rows = _with_runs(docs, length, id_col, text_col, wide, F.struct(F.lit(0).alias("none"), *quoted).alias("doc")).select(
+        "doc", "text", "runs"
+    )
+    schema = T.StructType(
+        [
+            T.StructField("id", rows.schema["doc"].dataType),
+            T.StructField("n_words", T.LongType()),
+            T.StructField("n_removed", T.LongType()),
+            T.StructField("kept", T.StringType()),
+        ]
     )
-    return cut.select(*[F.col("kept").alias(c) if c == text_col else F.col("id").getField(c).alias(c) for c in docs.columns])
+    cut = rows.mapInArrow(lambda b: _cut(b, length, True), schema)
+    place = {c: i for i, c in enumerate(others)}
+    return cut.select(*[(F.col("kept") if c == text_col else F.col(f"id.c{place[c]}")).alias(c) for c in docs.columns])

@@ -408,3 +408,58 @@ def test_pipeline_stages(spark, docs, sf, tmp_path):
     assert held.select("doc_id").distinct().count() == len({r["doc_id"] for r in kept})
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, spark.createDataFrame([], docs.schema), sf).count() == 0
+
+
+ODD_NAMES = "doc_id long, text string, _id int, `a b` int, row int, c0 string, id string, n int, kept boolean, `x.y` int"
+
+
+def odd_documents(spark, texts):
+    rows = [(i, t, i, 1, 2, "c", "d", 3, None, 4) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, ODD_NAMES)
+
+
+def test_stages_with_odd_column_names(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(30))
+    docs = odd_documents(spark, [passage, passage, f"{other} {passage}", other + " end", None, ""])
+    one = near_dup.one_per_group(docs)
+    assert one.dtypes == docs.dtypes and sorted(r["_id"] for r in one.collect()) == [0, 2, 3, 4, 5]
+    twice = near_dup.one_per_group(docs.unionByName(docs))
+    assert sorted(r["_id"] for r in twice.collect()) == [0, 2, 3, 4, 5]
+    cut = substring_dedup.cut_documents(docs)
+    assert cut.dtypes == docs.dtypes
+    assert {r["_id"]: r["text"] for r in cut.collect()} == {0: "", 1: "", 2: other, 3: other + " end", 4: None, 5: ""}
+
+
+def test_repeated_rows_cost_no_more_than_their_number(spark):
+    """Ten thousand copies of one row: each gets its stretches once."""
+    text = " ".join(f"w{i}" for i in range(200))
+    docs = spark.range(10_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit(text).alias("text")).repartition(4)
+    runs = substring_dedup.repeated_windows(substring_dedup._keyed(docs, "doc_id", "text"), 35)
+    held = runs.collect()
+    assert len(held) == 1 and len(held[0]["runs"]) <= 40
+    got = substring_dedup.without_repeats(docs, 35).groupBy("n_words", "n_removed").count().collect()
+    assert [tuple(r) for r in got] == [(200, 200, 10_000)]
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_components(spark, few):
+    from foliograph.llm.components import components
+
+    rng = np.random.default_rng(3)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (180, 2))]
+    links += [(1000 + i, 1001 + i) for i in range(70)] + [(2000, 2000 + i) for i in range(50)] + [(5, 5)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        p, q = sorted((find(a), find(b)))
+        root[q] = p
+    want = {x: find(x) for a, b in links if a != b for x in (a, b)}
+    df = spark.createDataFrame(links, "c long, lead long").repartition(3)
+    assert {r["node"]: r["component"] for r in components(df, "c", "lead", few).collect()} == want
+    assert components(df.limit(0), "c", "lead", few).isEmpty()
