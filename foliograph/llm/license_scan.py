@@ -7,11 +7,13 @@ lines that follow one another without a sentence mark or an empty line (or one
 of comment marks only) between them: of overlapping ones the leftmost is known,
 and of these the longest.  Rules are sequences of
 identifiers in an order of precedence; a rule matches where its identifiers
-follow one another.  Only recognised sentences leave the scan.
+come in this order, with others between them.  Only recognised sentences leave the scan.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Identifier -> normalised names of a licence, as they follow an opening.
@@ -64,7 +66,7 @@ LINKS = ("under", "under the", "under a", "under the terms of the")
 
 # Identifier -> normalised sentences of well-known licence texts that have no such opening.
 TEXTS = {
-    "apache-title": ("apache license version 2 0",),
+    "apache-title": ("apache license version 2 0", "apache license version 2 0 january 2004"),
     "apache-limit": ("you may not use this file except in compliance with the license",),
     "apache-copy": ("you may obtain a copy of the license at",),
     "mit-title": ("the mit license mit", "the mit license", "mit license"),
@@ -74,14 +76,16 @@ TEXTS = {
         "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
         "permit persons to whom the software is furnished to do so subject to the following conditions",
     ),
-    "mit-spdx": ("spdx license identifier mit",),
-    "apache-spdx": ("spdx license identifier apache 2 0",),
-    "gpl3-spdx": ("spdx license identifier gpl 3 0 or later", "spdx license identifier gpl 3 0 only", "spdx license identifier gpl 3 0"),
-    "gpl2-spdx": ("spdx license identifier gpl 2 0 or later", "spdx license identifier gpl 2 0 only", "spdx license identifier gpl 2 0"),
-    "bsd-spdx": ("spdx license identifier bsd 3 clause",),
-    "bsd2-spdx": ("spdx license identifier bsd 2 clause",),
-    "mpl2-spdx": ("spdx license identifier mpl 2 0",),
-    "isc-spdx": ("spdx license identifier isc",),
+    # Heads of the licence files.
+    "gpl2-title": ("gnu general public license version 2 june 1991",),
+    "gpl3-title": ("gnu general public license version 3 29 june 2007",),
+    "lgpl21-title": ("gnu lesser general public license version 2 1 february 1999",),
+    "lgpl3-title": ("gnu lesser general public license version 3 29 june 2007",),
+    "agpl3-title": ("gnu affero general public license version 3 19 november 2007",),
+    "mpl2-title": ("mozilla public license version 2 0",),
+    "bsd-title": ("bsd 3 clause license", "the 3 clause bsd license"),
+    "bsd2-title": ("bsd 2 clause license", "the 2 clause bsd license"),
+    "isc-title": ("isc license", "the isc license"),
     # A GNU notice breaks behind "free software".
     **{
         f"{name}-notice": tuple(
@@ -93,16 +97,40 @@ TEXTS = {
             ("gpl2", "", "2"), ("gpl3", "", "3"), ("lgpl21", "lesser ", "2 1"), ("lgpl3", "lesser ", "3"), ("agpl3", "affero ", "3"),
         )
     },
+    # Older notices have a semicolon there, which ends a sentence.
+    **{
+        f"gnu{name}-grant": (
+            f"you can redistribute it and or modify it under the terms of the gnu {kind}general public license as published by "
+            "the free software foundation",
+        )
+        for name, kind in (("", ""), ("-lesser", "lesser "), ("-affero", "affero "))
+    },
+    **{
+        f"version-{n.replace(' ', '.')}": (
+            f"either version {n} of the license or at your option any later version", f"version {n} of the license",
+        )
+        for n in ("2", "2 1", "3")
+    },
     # The sentence mark of "v. 2.0" ends it.
     "mpl2-notice": ("this source code form is subject to the terms of the mozilla public license v",),
     "bsd-grant": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that "
         "the following conditions are met",
     ),
+    "bsd-source": (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    ),
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+        "following disclaimer in the documentation and or other materials provided with the distribution",
+    ),
     "bsd-endorse": tuple(
-        f"neither the name of the {owner} nor the names of its contributors may be used to endorse or promote products "
+        f"neither the name of {owner} nor the names of its contributors may be used to endorse or promote products "
         "derived from this software without specific prior written permission"
-        for owner in ("copyright holder", "copyright owner", "university", "organization", "organization s")
+        for owner in (
+            "the copyright holder", "the copyright owner", "the university", "the organization", "the organization s",
+            "the author", "the company", "the project",
+        )
     ),
     "isc-grant": tuple(
         f"permission to use copy modify and {either}distribute this software for any purpose with or without fee is hereby "
@@ -114,6 +142,16 @@ TEXTS = {
 }
 
 
+# Identifier of a licence in "SPDX-License-Identifier" lines -> its rule.
+SPDX = {
+    "Apache-2.0": "apache-2.0", "MIT": "mit", "AGPL-3.0": "agpl-3.0", "GPL-3.0": "gpl-3.0", "GPL-2.0": "gpl-2.0",
+    "LGPL-3.0": "lgpl-3.0", "LGPL-2.1": "lgpl-2.1", "MPL-2.0": "mpl-2.0", "EPL-2.0": "epl-2.0",
+    "BSD-3-Clause": "bsd-3-clause", "BSD-2-Clause": "bsd-2-clause", "ISC": "isc", "Zlib": "zlib", "BSL-1.0": "bsl-1.0",
+    "Unlicense": "unlicense", "CC-BY-4.0": "cc-by-4.0", "CC-BY-SA-4.0": "cc-by-sa-4.0", "CC-BY-NC-4.0": "cc-by-nc-4.0",
+    "CC0-1.0": "cc0-1.0",
+}
+
+
 class Wordings(tuple):
     """Pairs of identifier and sentence: an identifier has many sentences, a sentence one identifier."""
 
@@ -132,70 +170,104 @@ def _wordings() -> Wordings:
     for known, texts in TEXTS.items():
         for text in texts:
             own.setdefault(text, known)
+    for spdx, name in SPDX.items():
+        for suffix in ("", " only", " or later"):
+            own.setdefault("spdx license identifier " + re.sub(r"[^a-z0-9]+", " ", spdx.lower()) + suffix, f"{name}-spdx")
     return Wordings((known, sentence) for sentence, known in own.items())
 
 
 SENTENCES = _wordings()
 
-# Rule name -> identifiers that follow one another, strongest rule first.
+# Rule -> identifiers in this order, others between them allowed, none
+# of those with a minus; strongest rule first.  A rule's licence is its name up to "/".
 RULES = {
-    "apache-2.0-notice": ("apache-header", "apache-limit"),
+    "apache-2.0/notice": ("apache-header", "apache-limit"),
     "apache-2.0": ("apache-header",),
-    "apache-2.0-title": ("apache-title",),
-    "apache-2.0-spdx": ("apache-spdx",),
+    "apache-2.0/title": ("apache-title",),
     "mit": ("mit-header",),
-    "mit-title": ("mit-title",),
-    "mit-grant": ("mit-grant",),
-    "mit-spdx": ("mit-spdx",),
+    "mit/title": ("mit-title",),
+    "mit/grant": ("mit-grant",),
     "agpl-3.0": ("agpl3-header",),
-    "agpl-3.0-notice": ("agpl3-notice",),
+    "agpl-3.0/notice": ("agpl3-notice",),
+    "agpl-3.0/terms": ("gnu-affero-grant", "version-3"),
+    "agpl-3.0/title": ("agpl3-title",),
     "agpl": ("agpl-header",),
     "gpl-3.0": ("gpl3-header",),
-    "gpl-3.0-notice": ("gpl3-notice",),
-    "gpl-3.0-spdx": ("gpl3-spdx",),
+    "gpl-3.0/notice": ("gpl3-notice",),
+    "gpl-3.0/terms": ("gnu-grant", "version-3"),
+    "gpl-3.0/title": ("gpl3-title",),
     "gpl-2.0": ("gpl2-header",),
-    "gpl-2.0-notice": ("gpl2-notice",),
-    "gpl-2.0-spdx": ("gpl2-spdx",),
+    "gpl-2.0/notice": ("gpl2-notice",),
+    "gpl-2.0/terms": ("gnu-grant", "version-2"),
+    "gpl-2.0/title": ("gpl2-title",),
     "gpl": ("gpl-header",),
     "lgpl-3.0": ("lgpl3-header",),
-    "lgpl-3.0-notice": ("lgpl3-notice",),
+    "lgpl-3.0/notice": ("lgpl3-notice",),
+    "lgpl-3.0/terms": ("gnu-lesser-grant", "version-3"),
+    "lgpl-3.0/title": ("lgpl3-title",),
     "lgpl-2.1": ("lgpl21-header",),
-    "lgpl-2.1-notice": ("lgpl21-notice",),
+    "lgpl-2.1/notice": ("lgpl21-notice",),
+    "lgpl-2.1/terms": ("gnu-lesser-grant", "version-2.1"),
+    "lgpl-2.1/title": ("lgpl21-title",),
     "lgpl": ("lgpl-header",),
     "mpl-2.0": ("mpl2-header",),
-    "mpl-2.0-notice": ("mpl2-notice",),
-    "mpl-2.0-spdx": ("mpl2-spdx",),
+    "mpl-2.0/notice": ("mpl2-notice",),
+    "mpl-2.0/title": ("mpl2-title",),
     "epl-2.0": ("epl2-header",),
-    "bsd-3-clause-text": ("bsd-grant", "bsd-endorse"),
-    "bsd-3-clause-grant": ("reserved", "bsd-grant"),
+    "bsd-3-clause/text": ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"),
     "bsd-3-clause": ("bsd-header",),
-    "bsd-3-clause-spdx": ("bsd-spdx",),
+    "bsd-3-clause/title": ("bsd-title",),
+    "bsd-2-clause/text": ("bsd-grant", "bsd-source", "bsd-binary", "-bsd-endorse"),
     "bsd-2-clause": ("bsd2-header",),
-    "bsd-2-clause-spdx": ("bsd2-spdx",),
+    "bsd-2-clause/title": ("bsd2-title",),
     "bsd": ("bsd-any-header",),
-    "bsd-grant": ("bsd-grant",),
+    "bsd/grant": ("bsd-grant", "-bsd-binary"),
     "isc": ("isc-header",),
-    "isc-grant": ("isc-grant",),
-    "isc-spdx": ("isc-spdx",),
+    "isc/title": ("isc-title",),
+    "isc/grant": ("isc-grant",),
     "zlib": ("zlib-header",),
     "bsl-1.0": ("boost-header",),
     "unlicense": ("unlicense-header",),
-    "unlicense-text": ("unlicense-text",),
-    "cc-by-nc-4.0-reserved": ("cc-by-nc", "reserved"),
+    "unlicense/text": ("unlicense-text",),
     "cc-by-nc-4.0": ("cc-by-nc",),
     "cc-by-sa-4.0": ("cc-by-sa",),
     "cc-by-4.0": ("cc-by",),
     "cc0-1.0": ("cc-zero",),
+    **{f"{name}/spdx": (f"{name}-spdx",) for name in SPDX.values()},
     "all-rights-reserved": ("reserved",),
 }
 
+
+def licence(rule: str) -> str:
+    return rule.split("/")[0]
+
+
+def pattern(sequence: tuple[str, ...]) -> str:
+    """A regular expression of the identifiers between commas, with gaps."""
+    return "," + ",(?:.*,)?".join(known for known in sequence if known[0] != "-") + ","
+
+
+def absent(sequence: tuple[str, ...]) -> list[str]:
+    return [known[1:] for known in sequence if known[0] == "-"]
+
+
+# A colon ends a sentence, but not behind the words "SPDX-License-Identifier";
+# licences joined by OR or AND, up to three, are as many lines.
+SPDX_WORDS = (r"(?i)spdx-license-identifier:[ \t]*", "spdx license identifier ")
+SPDX_PAIR = (
+    r"(spdx license identifier )\(?([A-Za-z0-9.+-]+)\)?[ \t]+(?:OR|AND)[ \t]+\(?([A-Za-z0-9.+-]+)",
+    "$1$2\n\n$1$3",
+)
 MARKS = r"[.!?;:]+(?=[ \t\r\n]|$)"
 MAX_SENTENCES = 20_000
 
 
 def normalised(text: Column) -> Column:
     """Normalised lines, an empty line behind each sentence mark."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), MARKS, "\n\n")
+    spdx = F.regexp_replace(F.coalesce(text, F.lit("")), *SPDX_WORDS)
+    for _ in range(2):
+        spdx = F.regexp_replace(spdx, *SPDX_PAIR)
+    marked = F.regexp_replace(spdx, MARKS, "\n\n")
     return F.regexp_replace(F.regexp_replace(F.lower(marked), r"[^a-z0-9\n]+", " "), " ?\n ?", "\n")
 
 
@@ -247,8 +319,8 @@ def scan(
 
     ``n_sentences`` counts pieces between sentence marks and line ends.
     ``sentence_ids`` joins the recognised identifiers in text order by commas,
-    ``licenses`` the matching rules in rule order; ``license`` is the first of
-    these or null.  A null text has no sentence; repeated rows give repeated
+    ``licenses`` the licences of the matching rules in rule order; ``license``
+    is the first of these or null.  A null text has no sentence; repeated rows give repeated
     results; an empty table gives none; other columns are not looked at.
     """
     if len(sentences) > MAX_SENTENCES:
@@ -278,8 +350,14 @@ def scan(
     ).join(found, ["row", "content"], "left")
     ids = F.coalesce(F.array_join("found", ","), F.lit(""))
     inside = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    matching = F.array_compact(
-        F.array(*[F.when(F.contains(inside, F.lit(f",{','.join(seq)},")), F.lit(name)) for name, seq in rules.items()])
+    named = []
+    for rule, sequence in rules.items():
+        matches = F.rlike(inside, F.lit(pattern(sequence)))
+        for known_ in absent(sequence):
+            matches = matches & ~F.contains(inside, F.lit(f",{known_},"))
+        named.append(F.when(matches, F.lit(licence(rule))))
+    matching = F.when(F.col("sentence_ids") != "", F.array_distinct(F.array_compact(F.array(*named)))).otherwise(
+        F.array().cast("array<string>")
     )
     return (
         joined.select("id", "n_sentences", ids.alias("sentence_ids"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from foliograph.llm.chat_tree import END, TEXT, TURN
-from foliograph.llm.license_scan import RULES, SENTENCES
+from foliograph.llm.license_scan import RULES, SENTENCES, SPDX_PAIR, SPDX_WORDS, absent, licence, pattern
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -82,22 +82,31 @@ select query_id, "rank", vec_id, score from r where "rank" <= 5
 
 def _license_scan() -> str:
     known = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES.items())
-    rules = ", ".join(f"({n}, '{name}', ',{','.join(seq)},')" for n, (name, seq) in enumerate(RULES.items()))
+    rules = ", ".join(
+        f"({n}, '{licence(name)}', '{pattern(seq)}', [{', '.join(repr(x) for x in absent(seq))}]::varchar[])"
+        for n, (name, seq) in enumerate(RULES.items())
+    )
+    t = f"regexp_replace(coalesce(text, ''), '{SPDX_WORDS[0]}', '{SPDX_WORDS[1]}', 'g')"
+    pair = SPDX_PAIR[1].replace("$", "\\").replace("\n", "' || chr(10) || '")
+    for _ in range(2):
+        t = f"regexp_replace({t}, '{SPDX_PAIR[0]}', '{pair}', 'g')"
     return rf"""
 with known(sentence, known) as (values {known}),
-rules(n, name, seq) as (values {rules}),
+rules(n, licence, pattern, absent) as (values {rules}),
 p as (
   select doc_id, unnest(x) s, generate_subscripts(x, 1) pos
-  from (select doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '[.!?;:]+([ \t\r\n]|$)', chr(10), 'g'), '\n') x
+  from (select doc_id, regexp_split_to_array(regexp_replace({t}, '[.!?;:]+([ \t\r\n]|$)', chr(10), 'g'), '\n') x
         from documents)),
 s as (
   select doc_id, pos, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' ') sentence from p
   where regexp_matches(s, '[a-zA-Z0-9]')),
 n as (select doc_id, count(*) n from s group by 1),
 f as (select doc_id, string_agg(known, ',' order by pos) ids from s join known using (sentence) group by 1),
-m as (
-  select doc_id, string_agg(name, ',' order by n) licenses, arg_min(name, n) license
-  from f join rules on contains(',' || ids || ',', seq) group by 1)
+r as (
+  select doc_id, licence, min(n) n from f join rules
+    on regexp_matches(',' || ids || ',', pattern) and len(list_filter(absent, lambda a: contains(',' || ids || ',', ',' || a || ','))) = 0
+  group by 1, 2),
+m as (select doc_id, string_agg(licence, ',' order by n) licenses, arg_min(licence, n) license from r group by 1)
 select doc_id, cast(coalesce(n, 0) as bigint) n_sentences, coalesce(ids, '') sentence_ids,
   coalesce(licenses, '') licenses, license
 from documents left join n using (doc_id) left join f using (doc_id) left join m using (doc_id)
