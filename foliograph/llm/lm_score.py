@@ -5,12 +5,17 @@ log10 P(word | before) = log10 P(class | before) + log10 P(word | class).
 * The class is a softmax over hashed features of the words before: the last
   one, the last two, and two skips.  Classes are clusters of frequent words by
   the words they follow, the end of a text, and all other words.
-* Inside a class words are a softmax of their log counts, with one share for
-  words never seen.
-* Training is synchronous gradient ascent: every training text takes part in
-  one of ``ROUNDS`` updates; tasks send sums of gradients in blocks, which are
-  added on the way, and the driver holds nothing but the model (bounded by
-  ``BUCKETS`` and ``CLASSES``).
+* Inside a class words are a softmax of their log counts and of features of the
+  pair of the last word and the word, with one share for words never seen.  The
+  pairs' weights are a table over shards that grows with the corpus (see
+  ``word_pairs``); only for the ``FOLLOWED`` most frequent last words, and for
+  the beginning of a text, the model of all tasks holds them, with the
+  ``CLUSTERED`` most frequent words.  Words beyond the ``HEAD`` most frequent
+  ones have no pairs.
+* The classes' weights are trained by synchronous gradient ascent: every
+  training text takes part in each of ``ROUNDS`` updates; tasks send sums of
+  gradients in blocks, which are added on the way, and the driver holds nothing
+  but the model (bounded by ``BUCKETS``, ``CLASSES``, ``HEAD`` and ``FOLLOWED``).
 * Counts of all words stay distributed.  The ``HEAD`` most frequent ones go to
   the tasks, the rest of a text's words are joined with their counts; none of
   these is frequent, so no key is hot.
@@ -20,25 +25,28 @@ Words are known by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from foliograph.llm import word_pairs
 from foliograph.llm.textbytes import hash_spans, lower_ascii, mix, split_words, text_slices
 from foliograph.session import scratch_path
 
 HEAD = 1 << 18
 CLUSTERED = 1 << 14
-CLASSES = 48
+CLASSES = 24
 BUCKETS = 1 << 14
 FOLLOWED = 64
-ROUNDS = 3
+ROUNDS = 2
 RATE = 0.5
-CHUNK = 8_192
+CHUNK = 32_768
+SHARD_TOKENS = 1 << 21
 _BLOCK = 256
 _END, _START = np.uint64(0x5EED0E2D), np.uint64(0x5EED057A)
 _ROW_BITS = 33
@@ -138,6 +146,17 @@ class Model:
     weights: np.ndarray
     train_tokens: int
     distinct: int
+    leaders: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # last words whose pairs are in ``hot``
+    hot: word_pairs.Pairs | None = None
+
+    def __post_init__(self) -> None:
+        order = np.lexsort((np.arange(len(self.words)), self.classes))
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.arange(len(order))
+        owner = self.classes[order]
+        self.inside = word_pairs.Classes(
+            ((self.counts + 1) / self.mass[self.classes])[order], np.searchsorted(owner, owner)
+        )
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row of each word and whether it is a frequent one."""
@@ -158,6 +177,12 @@ class Model:
         logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         return logits
 
+    def led(self, last: np.ndarray) -> np.ndarray:
+        """Whether the pairs of each last word are in the model itself."""
+        if not len(self.leaders):
+            return np.zeros(len(last), np.bool_)
+        return self.leaders[np.minimum(np.searchsorted(self.leaders, last), len(self.leaders) - 1)] == last
+
 
 def _following(batches: Iterator[pa.RecordBatch], words: np.ndarray, leaders: np.ndarray) -> Iterator[pa.RecordBatch]:
     """How often each clustered word follows each of the leading words."""
@@ -207,15 +232,16 @@ def _gradients(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
                 step[:, :-1] = -np.exp(model.log_classes(part))
                 step[np.arange(len(step)), owner[lo : lo + CHUNK]] += 1
                 step[:, -1] = 1
-                for row in part:
+                for row in part.astype(np.uint16 if BUCKETS <= 1 << 16 else np.int64):
                     order = np.argsort(row, kind="stable")
-                    head = np.flatnonzero(np.diff(row[order], prepend=-1))
-                    total[row[order[head]]] += np.add.reduceat(step[order], head, axis=0)
+                    keys = row[order]
+                    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+                    total[keys[head]] += np.add.reduceat(step[order], head, axis=0)
     yield _blocks(total)
 
 
-def trained(texts: DataFrame, counts: DataFrame, slice_of: Column, head: int = HEAD) -> Model:
-    """The model of ``texts`` (column ``text``); ``slice_of`` deals them to the updates."""
+def trained(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model:
+    """The model of ``texts`` (column ``text``)."""
     spark = texts.sparkSession
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     end = int(_END.view(np.int64))
@@ -226,10 +252,11 @@ def trained(texts: DataFrame, counts: DataFrame, slice_of: Column, head: int = H
     if ends:
         words, number = np.append(words, _END), np.append(number, ends["n"])
     classes = np.full(len(words), _TAIL)
+    leaders = np.empty(0, np.uint64)
     clustered = np.arange(min(CLUSTERED, len(top)))
     if len(clustered):
         own = np.sort(words[clustered])
-        leaders = np.sort(words[: min(FOLLOWED, len(top))])
+        leaders = np.sort(np.append(words[: min(FOLLOWED, len(top))], _START))
         follow = summed(
             texts.select("text").mapInArrow(lambda b: _following(b, own, leaders), "block int, v binary"), (len(own), len(leaders))
         )
@@ -247,10 +274,17 @@ def trained(texts: DataFrame, counts: DataFrame, slice_of: Column, head: int = H
     mass[_TAIL] += whole[0] - number.sum() + whole[1] - len(words) + 1
     prior = np.log((seen + 1) / (seen + 1).sum())
     model = Model(words, number, classes, mass, prior.astype(np.float32), np.zeros((BUCKETS, CLASSES), np.float32), int(whole[0]), int(whole[1]))
+    if len(leaders):
+        row, _ = model.find(own)
+        j, i = np.nonzero(follow)
+        keys = word_pairs.pair_keys(leaders[i], model.place[row[j]])
+        order = np.argsort(keys)
+        model.leaders = leaders
+        model.hot = word_pairs.fitted(keys[order], follow[j, i][order], model.inside)
     share = np.exp(prior)
-    for turn in range(ROUNDS if whole[0] else 0):
+    for _ in range(ROUNDS if whole[0] else 0):
         sent = spark.sparkContext.broadcast(model)
-        part = texts.filter(slice_of == turn).select("text").mapInArrow(
+        part = texts.select("text").mapInArrow(
             lambda b, sent=sent: _gradients(b, sent.value), "block int, v binary"
         )
         total = summed(part, (BUCKETS, CLASSES + 1))
@@ -262,7 +296,7 @@ def trained(texts: DataFrame, counts: DataFrame, slice_of: Column, head: int = H
 # Scores.
 
 _SCORES = (
-    "row_key bigint, id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+    "row_key bigint, key_a bigint, key_b bigint, id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
     "log_counts double, log_model double, rare array<bigint>"
 )
 
@@ -273,35 +307,56 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
     log_mass = np.log10(np.maximum(model.mass, 1))
     log_count = np.log10(model.counts + 1) if len(model.counts) else np.zeros(1)
     for batch in batches:
-        for first, last, data, offsets in text_slices(batch.column(2)):
+        for first, last, data, offsets in text_slices(batch.column("text")):
             words, at = tokens(data, offsets)
             row, known = model.find(words)
             owner = model.class_of(row, known)
             counted = np.where(known, log_count[row], 0.0)
-            buckets = feature_buckets(contexts(words, at))
+            before = contexts(words, at)
+            buckets = feature_buckets(before)
             score = np.empty(len(words))
             for lo in range(0, len(words), CHUNK):
                 own = owner[lo : lo + CHUNK]
                 score[lo : lo + CHUNK] = model.log_classes(buckets[:, lo : lo + CHUNK])[np.arange(len(own)), own]
+            if model.hot is not None:
+                led = np.flatnonzero(known & model.led(before[0]))
+                keys = word_pairs.pair_keys(before[0][led], model.place[row[led]])
+                score[led] += model.hot.log_ratio(keys, model.inside)
             score = score / np.log(10) + counted - log_mass[owner]
             rare = np.concatenate([[0], np.cumsum(~known)])[at].astype(np.int32)
             n = last - first
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(key, key + n)),
-                    batch.column(0).slice(first, n),
-                    batch.column(1).slice(first, n),
+                    *(batch.column(c).slice(first, n) for c in ("key_a", "key_b", "id", "held_out")),
                     pa.array(np.diff(at)),
                     pa.array(np.diff(at) - np.diff(rare).astype(np.int64)),
                     pa.array(np.add.reduceat(counted, at[:-1])),
                     pa.array(np.add.reduceat(score, at[:-1])),
                     pa.ListArray.from_arrays(pa.array(rare), pa.array(words[~known].view(np.int64))),
                 ],
-                names=["row_key", "id", "held_out", "n_tokens", "n_known", "log_counts", "log_model", "rare"],
+                names=["row_key", "key_a", "key_b", "id", "held_out", "n_tokens", "n_known", "log_counts", "log_model", "rare"],
             )
             key += n
 
 
+def _pairs(batches: Iterator[pa.RecordBatch], model: Model, shards: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of the pairs whose last word is none of the model's own."""
+    number = TaskContext.get().partitionId() << _ROW_BITS
+    for batch in batches:
+        for first, last, data, offsets in text_slices(batch.column("text")):
+            words, at = tokens(data, offsets)
+            row, known = model.find(words)
+            before = contexts(words, at)[0]
+            used = np.flatnonzero(known & (model.class_of(row, known) != _LAST) & ~model.led(before))
+            text = np.repeat(np.arange(last - first), np.diff(at))[used]
+            names = np.stack([batch.column(c).slice(first, last - first).to_numpy() for c in ("key_a", "key_b")], axis=1)
+            held = batch.column("held_out").slice(first, last - first).to_numpy(zero_copy_only=False)
+            keys = word_pairs.pair_keys(before[used], model.place[row[used]])
+            yield from word_pairs.blocks(number, keys, text, ~held[text], names, shards)
+            number += 1
+
+
 def scored(
     docs: DataFrame,
     *,
@@ -325,10 +380,10 @@ def scored(
         F.col(f"`{id_col}`").alias("id"),
         F.coalesce(rest == held_fold, F.lit(False)).alias("held_out"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-    )
+    ).select("*", F.xxhash64("id", "text").alias("key_a"), F.xxhash64("text", "id", F.lit(1)).alias("key_b"))
     training = rows.filter(~F.col("held_out"))
     counts = word_counts(training)
-    model = trained(training, counts, F.pmod(F.xxhash64("id"), F.lit(ROUNDS)), head)
+    model = trained(training, counts, head)
     sent = spark.sparkContext.broadcast(model)
     path = scratch_path(spark, "lm-scores")
     kind = docs.schema[id_col].dataType.simpleString()
@@ -337,14 +392,26 @@ def scored(
     rare = stored.select("row_key", F.explode("rare").alias("word")).join(counts, "word").groupBy("row_key").agg(
         F.count("*").alias("seen"), F.sum(F.log10(F.col("n") + 1)).alias("more")
     )
+    shards = max(1, model.train_tokens // SHARD_TOKENS)
+    inside = (
+        rows.mapInArrow(lambda b: _pairs(b, sent.value, shards), word_pairs.BLOCKS)
+        .repartition("shard")
+        .sortWithinPartitions("shard", "kind")
+        .mapInArrow(lambda b: word_pairs.shard_sums(b, sent.value.inside), word_pairs.SUMS)
+        .repartition("slice")
+        .sortWithinPartitions("slice", F.desc("kind"))
+        .mapInArrow(word_pairs.per_text, "key_a bigint, key_b bigint, inside double")
+        .groupBy("key_a", "key_b")
+        .agg(F.max("inside").alias("inside"))  # equal rows have equal sums but for rounding
+    )
     more = F.coalesce("more", F.lit(0.0))
     base = F.log10(F.lit(float(model.train_tokens + model.distinct + 1)))
-    return stored.drop("rare").join(rare, "row_key", "left").select(
+    return stored.drop("rare").join(rare, "row_key", "left").join(inside, ["key_a", "key_b"], "left").select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
         (F.col("log_counts") + more - F.col("n_tokens") * base).alias("base_score"),
-        (F.col("log_model") + more).alias("score"),
+        (F.col("log_model") + more + F.coalesce("inside", F.lit(0.0)) / math.log(10)).alias("score"),
     )
