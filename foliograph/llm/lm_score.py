@@ -48,6 +48,7 @@ RATE = 0.5
 CHUNK = 32_768
 SHARD_TOKENS = 1 << 21
 _BLOCK = 256
+_CACHED = 2_048  # tokens whose classes fit a processor cache
 _END, _START = np.uint64(0x5EED0E2D), np.uint64(0x5EED057A)
 _ROW_BITS = 33
 _TAIL, _LAST = 0, 1  # classes of rare words and of the end of a text
@@ -150,6 +151,10 @@ class Model:
     hot: word_pairs.Pairs | None = None
 
     def __post_init__(self) -> None:
+        bits = max(1, len(self.words).bit_length())
+        self.shift = np.uint64(64 - bits)
+        starts = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.begin = np.minimum(np.searchsorted(self.words, starts), max(0, len(self.words) - 1))
         order = np.lexsort((np.arange(len(self.words)), self.classes))
         self.place = np.empty(len(order), np.int64)
         self.place[order] = np.arange(len(order))
@@ -162,19 +167,36 @@ class Model:
         """Row of each word and whether it is a frequent one."""
         if not len(self.words):
             return np.zeros(len(words), np.int64), np.zeros(len(words), np.bool_)
-        row = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return row, self.words[row] == words
+        row = self.begin.take((words >> self.shift).astype(np.int64))
+        ahead = np.flatnonzero(self.words.take(row) < words)
+        while len(ahead):  # hashes are spread evenly, so few steps are left
+            row[ahead] += 1
+            ahead = ahead[self.words.take(row[ahead], mode="clip") < words[ahead]]
+            ahead = ahead[row[ahead] < len(self.words)]
+        row = np.minimum(row, len(self.words) - 1)
+        return row, self.words.take(row) == words
 
     def class_of(self, row: np.ndarray, known: np.ndarray) -> np.ndarray:
         return np.where(known, self.classes[row], _TAIL) if len(self.classes) else np.zeros(len(row), np.int64)
 
     def log_classes(self, buckets: np.ndarray) -> np.ndarray:
         """Natural log probabilities (tokens x classes)."""
-        logits = self.weights[buckets[0]] + self.prior
+        logits = self._logits(buckets)
+        logits -= np.log(np.exp(logits) @ np.ones(logits.shape[1], np.float32))[:, None]
+        return logits
+
+    def class_shares(self, buckets: np.ndarray) -> np.ndarray:
+        """Probabilities (tokens x classes)."""
+        shares = np.exp(self._logits(buckets))
+        shares /= (shares @ np.ones(shares.shape[1], np.float32))[:, None]
+        return shares
+
+    def _logits(self, buckets: np.ndarray) -> np.ndarray:
+        # Steps are clipped, so no logit comes near the range of a float's exponential.
+        logits = self.weights.take(buckets[0], axis=0)
+        logits += self.prior
         for row in buckets[1:]:
-            logits += self.weights[row]
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+            logits += self.weights.take(row, axis=0)
         return logits
 
     def led(self, last: np.ndarray) -> np.ndarray:
@@ -220,7 +242,7 @@ def _clusters(follow: np.ndarray, weight: np.ndarray, count: int) -> np.ndarray:
 
 def _gradients(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Per bucket the sum of (seen - expected) over classes, and the number of tokens."""
-    total = np.zeros((BUCKETS, CLASSES + 1), np.float64)
+    total = np.zeros((CLASSES + 1, BUCKETS))
     for batch in batches:
         for _, _, data, offsets in text_slices(batch.column(0)):
             words, at = tokens(data, offsets)
@@ -228,16 +250,15 @@ def _gradients(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
             buckets = feature_buckets(contexts(words, at))
             for lo in range(0, len(words), CHUNK):
                 part = buckets[:, lo : lo + CHUNK]
-                step = np.empty((part.shape[1], CLASSES + 1), np.float32)
-                step[:, :-1] = -np.exp(model.log_classes(part))
-                step[np.arange(len(step)), owner[lo : lo + CHUNK]] += 1
-                step[:, -1] = 1
-                for row in part.astype(np.uint16 if BUCKETS <= 1 << 16 else np.int64):
-                    order = np.argsort(row, kind="stable")
-                    keys = row[order]
-                    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                    total[keys[head]] += np.add.reduceat(step[order], head, axis=0)
-    yield _blocks(total)
+                step = np.empty((CLASSES, part.shape[1]))
+                for i in range(0, part.shape[1], _CACHED):
+                    step[:, i : i + _CACHED] = model.class_shares(part[:, i : i + _CACHED]).T
+                step[owner[lo : lo + CHUNK], np.arange(step.shape[1])] -= 1
+                for row in part:
+                    for k in range(CLASSES):
+                        total[k] -= np.bincount(row, step[k], minlength=BUCKETS)
+                    total[CLASSES] += np.bincount(row, minlength=BUCKETS)
+    yield _blocks(np.ascontiguousarray(total.T))
 
 
 def trained(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model:
@@ -315,9 +336,9 @@ def _scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
             before = contexts(words, at)
             buckets = feature_buckets(before)
             score = np.empty(len(words))
-            for lo in range(0, len(words), CHUNK):
-                own = owner[lo : lo + CHUNK]
-                score[lo : lo + CHUNK] = model.log_classes(buckets[:, lo : lo + CHUNK])[np.arange(len(own)), own]
+            for lo in range(0, len(words), _CACHED):
+                own = owner[lo : lo + _CACHED]
+                score[lo : lo + _CACHED] = model.log_classes(buckets[:, lo : lo + _CACHED])[np.arange(len(own)), own]
             if model.hot is not None:
                 led = np.flatnonzero(known & model.led(before[0]))
                 keys = word_pairs.pair_keys(before[0][led], model.place[row[led]])
