@@ -540,6 +540,31 @@ def test_lm_probabilities_sum_to_one():
     np.testing.assert_allclose(whole, np.exp(log_class)[:, used].sum(axis=1), rtol=1e-5)
 
 
+def test_quality_classifier_plain(spark):
+    """The same scores from whole matrices: densities by solving and determinants, no factors, no sums over tasks."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r["id"], np.array(r["statistics"])) for r in quality_classifier.statistics_of(docs).collect()]
+    label = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    fit = [(label[k], x) for k, x in rows if zlib.crc32(str(k).encode()) % 5 and label.get(k) in (0, 1)]
+    every = np.array([x for _, x in fit])
+    shift, scale = every.mean(axis=0), np.sqrt(np.maximum(every.var(axis=0), 1e-6))
+    groups = [(np.array([x for y, x in fit if y == k]) - shift) / scale for k in (0, 1)]
+    own = [np.cov(g.T, bias=True) for g in groups]
+    pooled = sum(len(g) * c for g, c in zip(groups, own)) / len(fit)
+    densities = []
+    for g, c in zip(groups, own):
+        c = 0.9 * c + 0.1 * pooled
+        c = 0.9 * c + 0.1 * np.diag(np.diag(c)) + 1e-3 * np.eye(len(c))
+        away = np.clip((np.array([x for _, x in rows]) - shift) / scale, -12, 12) - g.mean(axis=0)
+        densities.append(-0.5 * (away * np.linalg.solve(c, away.T).T).sum(axis=1) - 0.5 * np.linalg.slogdet(c)[1])
+    odds = math.log((len(groups[1]) + 1) / (len(groups[0]) + 1))
+    want = 1 / (1 + np.exp(-np.clip(0.5 * (densities[1] - densities[0]) + odds, -60, 60)))
+    got = {r["doc_id"]: r for r in quality_classifier.classified(docs, labels).collect()}
+    assert len(got) == len(rows)
+    np.testing.assert_allclose([got[k]["score"] for k, _ in rows], want, rtol=1e-6, atol=1e-9)
+    assert all(got[k]["predicted"] == (got[k]["score"] >= 0.3) for k, _ in rows)
+
+
 def test_quality_classifier(spark, docs, rows, empty):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     whole = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
