@@ -392,7 +392,8 @@ def scored(
     Training texts are those whose id, as text, has a CRC-32 that leaves
     another rest than ``held_fold`` by ``folds``; a null id is never held out.
     A null text is empty: one end.  Repeated rows count and are scored as often
-    as they occur.  Without training texts both scores rest on nothing: every
+    as they occur; rows of equal id and text share one score, the larger where
+    rounding tells their sums apart.  Without training texts both scores rest on nothing: every
     token has probability one in the base, and a uniform class in the model.
     """
     spark = docs.sparkSession

@@ -446,6 +446,16 @@ def test_lm_learns(spark):
     assert got[0] - got[1] > 0.5 * got[2]
 
 
+def test_lm_score_without_training_texts(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    docs = spark.createDataFrame([(i, t) for i, t in zip(ids, ["a b a", None, ""])], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm_score.scored(docs).collect()}
+    assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for _, r in sorted(got.items())] == [
+        (4, 0, 0, 0.0), (1, 0, 0, 0.0), (1, 0, 0, 0.0)
+    ]
+    assert all(r["held_out"] and r["score"] < 0 for r in got.values())
+
+
 @pytest.mark.parametrize("followed", [2, 64])
 @pytest.mark.parametrize("shard_tokens", [40, 1 << 21])
 def test_lm_score_plain(docs, rows, monkeypatch, followed, shard_tokens):
