@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import hashlib
+from collections.abc import Iterator
 
-from foliograph.functions.text import py_words
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Fixed value: width of the hashed vector.
 HASH_DIM = 384
+HASHED = T.StructType([T.StructField(name, T.ArrayType(T.IntegerType())) for name in ("idx", "tf")])
+# Texts whose tokens are told apart at a time, and texts counted at a time.
+HASH_ROWS = 10_000
+COUNTED_AT_ONCE = 500
 
 
 def _digest_head(token: Column | str) -> Column:
@@ -28,41 +36,56 @@ def token_bucket(token: Column | str) -> Column:
     return _le_bucket(_digest_head(token))
 
 
+def _buckets(tokens: pa.Array) -> np.ndarray:
+    """Bucket of each lower-cased token, -1 for an empty one; a digest is taken once per distinct token."""
+    coded = tokens.dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    digests = b"".join([hashlib.md5(word, usedforsecurity=False).digest() for word in words])
+    bucket = (np.frombuffer(digests, "<u4")[::4] % HASH_DIM).astype(np.int64)  # the first of four numbers
+    bucket[[i for i, word in enumerate(words) if not word]] = -1
+    return bucket[coded.indices.to_numpy()]
+
+
+def _hashed(texts: pa.Array) -> pa.Array:
+    """Token counts per bucket of lower-cased texts; Arrow's whitespace is that of ``py_words``."""
+    tokens = pc.utf8_split_whitespace(texts.fill_null(""))
+    bucket = _buckets(tokens.flatten())
+    sizes = tokens.value_lengths().to_numpy()
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    idx, tf, held = [], [], [np.zeros(1, np.int64)]
+    for at in range(0, len(sizes), COUNTED_AT_ONCE):
+        size = sizes[at : at + COUNTED_AT_ONCE]
+        own = bucket[first[at] : first[at + len(size)]]
+        cell = np.repeat(np.arange(len(size)) * HASH_DIM, size) + own
+        counts = np.bincount(cell[own >= 0], minlength=len(size) * HASH_DIM)
+        cell = np.flatnonzero(counts)
+        idx.append((cell % HASH_DIM).astype(np.int32))
+        tf.append(counts[cell].astype(np.int32))
+        held.append(np.bincount(cell // HASH_DIM, minlength=len(size)))
+    ends = pa.array(np.cumsum(np.concatenate(held)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values))) for values in (idx, tf)]
+    return pa.StructArray.from_arrays(lists, names=["idx", "tf"], mask=texts.is_null())
+
+
 def with_hashed_vector(df: DataFrame, text_col: str, out: str = "embedding") -> DataFrame:
     """Add ``out = struct<idx: array<int>, tf: array<int>>``, the token count per bucket.
 
-    A row's vector depends on that row alone, so nothing is shuffled: the
-    bucket list is sorted inside the row and its runs are measured.  Counts
-    stay integers, which keeps cosine distances exact; ``unit_weights`` turns
-    them into the L2-normalised form.
+    A row's vector depends on that row alone, so nothing is shuffled: tasks
+    count the tokens of Arrow batches, and a token's digest is taken once per
+    batch, not once per occurrence.  Counts stay integers, which keeps cosine
+    distances exact; ``unit_weights`` turns them into the L2-normalised form.
     """
-    # Hidden columns keep the sorted list from being recomputed per element.
-    words = py_words(F.lower(F.col(text_col)))
-    runs = df.withColumn(
-        "_buckets", F.sort_array(F.transform(F.transform(words, _digest_head), _le_bucket))
-    ).withColumn(
-        "_starts",
-        F.when(
-            F.size("_buckets") > 0,
-            F.filter(
-                F.sequence(F.lit(0), F.size("_buckets") - 1),
-                lambda i: (i == 0) | (F.get("_buckets", i) != F.get("_buckets", i - 1)),
-            ),
-        ).otherwise(F.array().cast("array<int>")),
-    )
-    ends = F.concat(
-        F.slice("_starts", F.lit(2), F.greatest(F.size("_starts") - 1, F.lit(0))),
-        F.array(F.size("_buckets")),
-    )
-    vector = F.struct(
-        F.transform("_starts", lambda i: F.get("_buckets", i)).alias("idx"),
-        F.when(
-            F.size("_starts") > 0, F.zip_with("_starts", ends, lambda start, end: end - start)
-        ).otherwise(F.array().cast("array<int>")).alias("tf"),
-    )
-    return runs.withColumn(out, F.when(F.col("_buckets").isNotNull(), vector)).drop(
-        "_buckets", "_starts"
-    )
+    rows = df.drop(out)
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, HASHED)])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, HASH_ROWS):
+                *columns, texts = batch.slice(at, HASH_ROWS).columns
+                yield pa.RecordBatch.from_arrays([*columns, _hashed(texts)], names=schema.names)
+
+    # Spark's own lower case, so that tokens are those of ``token_bucket``.
+    return rows.withColumn("_lower", F.lower(F.col(text_col))).mapInArrow(hashed, schema)
 
 
 def sum_of_squares(values: Column | str) -> Column:
@@ -93,15 +116,13 @@ def dense_vector(vector: Column | str) -> Column:
 
 
 def postings(df: DataFrame, id_col: str, vector_col: str = "embedding") -> DataFrame:
-    """Long form of hashed vectors: ``id, bucket, tf, weight``."""
-    entry = F.arrays_zip(
-        F.col(f"{vector_col}.idx").alias("bucket"),
-        F.col(f"{vector_col}.tf").alias("tf"),
-        unit_weights(vector_col).alias("weight"),
-    )
-    return df.select(id_col, F.explode(entry).alias("p")).select(
-        id_col,
-        F.col("p.bucket").alias("bucket"),
-        F.col("p.tf").alias("tf"),
-        F.col("p.weight").alias("weight"),
-    )
+    """Long form of hashed vectors: ``id, bucket, tf, weight``.
+
+    The norm is a column of its own, so that counts alone do not cost it.
+    """
+    counts = F.col(f"{vector_col}.tf")
+    entry = F.arrays_zip(F.col(f"{vector_col}.idx").alias("bucket"), counts.alias("tf"))
+    norm = F.sqrt(sum_of_squares(counts.cast("array<double>")))
+    rows = df.select(id_col, norm.alias("norm"), F.explode(entry).alias("p"))
+    weight = F.when(F.col("norm") > 0, F.col("p.tf") / F.col("norm")).otherwise(F.lit(0.0))
+    return rows.select(id_col, F.col("p.bucket").alias("bucket"), F.col("p.tf").alias("tf"), weight.alias("weight"))

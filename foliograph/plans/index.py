@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from foliograph.functions.text import py_strip, py_words, status_label, strict_integer
@@ -13,6 +16,8 @@ from foliograph.sources.chunk_store import ChunkStore
 # Words per chunk and words shared with the previous chunk.
 CHUNK_SIZE = 200
 CHUNK_OVERLAP = 40
+# Texts cut into windows at a time.
+TEXTS_AT_ONCE = 200
 
 
 def eligible_papers(papers: DataFrame) -> DataFrame:
@@ -37,32 +42,49 @@ def _window_count(words: Column, size: int, step: int) -> Column:
     return (F.greatest(F.ceil((words - size) / F.lit(step)), F.lit(0)) + 1).cast("int")
 
 
+def _windows(texts: pa.Array, size: int, step: int) -> tuple[list[int], list[int], list[str]]:
+    """Text number, window number and window of each window; ``str.split`` cuts as ``py_words`` does."""
+    row, number, window = [], [], []
+    for at, text in enumerate(texts.to_pylist()):
+        words = text.split()
+        for i in range(max(-(-(len(words) - size) // step), 0) + 1):
+            row.append(at)
+            number.append(i)
+            window.append(" ".join(words[i * step : i * step + size]))
+    return row, number, window
+
+
 def chunk_papers(papers: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Overlapping word windows of each abstract.
 
     A window starts every ``size - overlap`` words; the first one to reach the
-    end of the text is the last.
+    end of the text is the last.  Tasks cut Arrow batches of texts, each text in
+    time that grows with its length.
     """
     if size <= 0:
         raise ValueError("chunk size must be positive")
     if not 0 <= overlap < size:
         raise ValueError("chunk overlap must be at least 0 and below the chunk size")
     step = size - overlap
-    words = papers.filter(py_strip("abstract") != "").withColumn("_words", py_words("abstract"))
-    windows = F.transform(
-        F.sequence(F.lit(0), _window_count(F.size("_words"), size, step) - 1),
-        lambda i: F.array_join(F.slice("_words", i * step + 1, F.lit(size)), " "),
-    )
-    return words.select("*", F.posexplode(windows).alias("chunk_idx", "chunk_text")).select(
+    about = ("arxiv_id", "title", "category", "year", "pub_status", "first_author")
+    texts = papers.filter(py_strip("abstract") != "").select(*about, F.make_valid_utf8("abstract").alias("abstract"))
+    made = [T.StructField("chunk_idx", T.IntegerType()), T.StructField("chunk_text", T.StringType())]
+    schema = T.StructType([*(texts.schema[name] for name in about), *made])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                *kept, texts = batch.slice(at, TEXTS_AT_ONCE).columns
+                row, number, window = _windows(texts, size, step)
+                columns = [column.take(pa.array(row)) for column in kept]
+                columns += [pa.array(number, pa.int32()), pa.array(window, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return texts.mapInArrow(cut, schema).select(
         F.concat_ws(":", "arxiv_id", "chunk_idx").alias("chunk_id"),
         "chunk_idx",
         "chunk_text",
-        "arxiv_id",
-        "title",
-        "category",
-        "year",
-        "pub_status",
-        "first_author",
+        *about,
     )
 
 

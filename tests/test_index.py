@@ -154,3 +154,17 @@ def test_lookup_reads_only_the_files_that_hold_the_ids(spark, tmp_path):
     derived = table.select("id", F.upper("t").alias("t"))
     assert rows_for(derived, ids, "id", ["id", "t"], many_files=1).count() == 3
     assert rows_for(table, ids.limit(0), "id", ["id", "t"], many_files=1).count() == 0
+
+
+def test_windows_of_a_long_text_and_of_odd_ones(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    rows = [("long", long), ("odd", "\u2003a\x1fb\n\nc\x85 d "), ("none", None), ("blank", " \u3000"), (None, "x y")]
+    df = papers(spark, *[(i, "T", x, "c", "2007", "x", "A") for i, x in rows]).withColumnRenamed("primary_category", "category")
+    df = df.withColumnRenamed("submitted_year", "year")
+    chunks = index.chunk_papers(df, 3, 1)
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    assert "slice" not in plan and "MapInArrow" in plan  # a slice copies the whole text for each window
+    got = {(r["arxiv_id"], r["chunk_idx"]): r["chunk_text"] for r in chunks.collect()}
+    assert got.pop((None, 0)) == "x y" and chunks.filter("arxiv_id is null").first()["chunk_id"] == "0"
+    assert [got.pop(("odd", i)) for i in (0, 1)] == ["a b c", "c d"]
+    assert got == {("long", i): " ".join(f"w{j}" for j in range(2 * i, min(2 * i + 3, 200_000))) for i in range(100_000)}

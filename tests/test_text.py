@@ -115,3 +115,23 @@ def test_null_text_gives_null_vector(spark):
 def test_unit_vector_of_zeros_stays_zero(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([3.0, 4.0],)], "x array<double>")
     assert [r["y"] for r in df.select(v.unit("x").alias("y")).collect()] == [[0.0, 0.0], [0.6, 0.8]]
+
+
+def test_whitespace_of_the_hashed_words(spark):
+    texts = [f"a{chr(c)}b" for c in (*range(1, 0x3002), 0xFEFF, 0x1F600) if not 0xD800 <= c < 0xE000]
+    texts += ["", " ", "　x\x1c", "x" * 3000, None] + ["same words"] * 1200
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").repartition(3)
+    words = t.py_words(F.lower("x"))
+    rows = v.with_hashed_vector(df, "x").select(F.aggregate("embedding.tf", F.lit(0), lambda a, n: a + n).alias("n"), F.size(words).alias("want"))
+    assert rows.filter(~F.col("n").eqNullSafe(F.when(F.col("want") >= 0, F.col("want")))).isEmpty()
+    assert rows.count() == len(texts)
+
+
+def test_vectors_are_counted_by_batches(spark):
+    # no function of an array runs token by token in the plan, and no weight where counts are asked for
+    df = spark.createDataFrame([("i", "the cat the")], "chunk_id string, x string")
+    hashed = v.with_hashed_vector(df, "x")
+    plan = v.postings(hashed, "chunk_id").select("chunk_id", "bucket", "tf")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "lambda" not in plan and "md5" not in plan
+    got = {r["tf"]: r["weight"] for r in v.postings(hashed, "chunk_id").collect()}
+    assert got == {1: 1 / math.sqrt(5), 2: 2 / math.sqrt(5)}
