@@ -159,3 +159,43 @@ def test_chunks_are_retrieved_through_an_inverted_file(spark, sf, tmp_path):
     key = ["id", "rank", "chunk_id"]
     got, want = ({tuple(r) for r in df.select(key).collect()} for df in (whole, want))
     assert len(got & want) >= 0.98 * len(want) > 0  # codes may leave out one of several at nearly one distance
+
+
+def test_cells_of_narrow_floats_are_the_exact_ones():
+    from foliograph.operators.inverted_file import _cells_by_distance, _on_grid
+
+    rng = np.random.default_rng(5)
+    for scale in (1, 7.0):  # beyond unit length sums of four bytes would not be exact
+        points, centroids = (np.rint(_on_grid(rng.normal(size=(n, 384))) * scale) for n in (400, 90))
+        distance = (centroids * centroids).sum(axis=1)[None, :] - 2 * (points @ centroids.T)
+        want = np.argsort(distance, axis=1, kind="stable")
+        for keep in (1, 5):
+            assert (np.concatenate(list(_cells_by_distance(points, centroids, keep))) == want[:, :keep]).all()
+
+
+def test_training_sends_a_row_per_cell_and_batch(spark, monkeypatch):
+    from foliograph.operators import inverted_file
+
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "id bigint, vector array<double>").coalesce(1)
+    sent = []
+    mapped = inverted_file._map
+    monkeypatch.setattr(inverted_file, "_map", lambda *a: (sent.append(mapped(*a)), sent[-1])[1])
+    centroids = inverted_file._train(df, "id", 5, 900, 10_000, 2)
+    assert centroids.shape == (5, 6) and len(sent) == 3
+    points = np.rint(inverted_file._on_grid(np.array([v for _, v in rows])))
+    for found in sent[1:]:
+        assert found.count() <= 5 * 4 and found.agg(F.sum("n")).first()[0] == 900
+    assert (centroids == _plain_training(rows, points)).all()
+
+
+def _plain_training(rows, points):
+    import hashlib
+
+    order = sorted(range(len(rows)), key=lambda i: hashlib.md5(str(rows[i][0]).encode()).hexdigest())
+    centroids = points[order[:5]]
+    for _ in range(2):
+        near = ((centroids**2).sum(axis=1)[None, :] - 2 * points @ centroids.T).argmin(axis=1)
+        centroids = np.array([np.floor((2 * points[near == c].sum(axis=0) + (near == c).sum()) / (2 * (near == c).sum())) for c in range(5)])
+    return centroids
