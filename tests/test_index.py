@@ -168,3 +168,15 @@ def test_windows_of_a_long_text_and_of_odd_ones(spark):
     assert got.pop((None, 0)) == "x y" and chunks.filter("arxiv_id is null").first()["chunk_id"] == "0"
     assert [got.pop(("odd", i)) for i in (0, 1)] == ["a b c", "c d"]
     assert got == {("long", i): " ".join(f"w{j}" for j in range(2 * i, min(2 * i + 3, 200_000))) for i in range(100_000)}
+
+
+def test_collections_clean_the_papers_once(spark, sf, monkeypatch):
+    from foliograph.checks import queries
+
+    seen = []
+    build = index.build_index
+    monkeypatch.setattr(index, "build_index", lambda papers, *a, **b: (seen.append(papers), build(papers, *a, **b))[1])
+    assert queries.collections(spark, sf).count() > 0
+    assert len(seen) == 3
+    for given in seen:
+        assert "Window" not in given._jdf.queryExecution().executedPlan().toString()
