@@ -180,3 +180,10 @@ def test_collections_clean_the_papers_once(spark, sf, monkeypatch):
     assert len(seen) == 3
     for given in seen:
         assert "Window" not in given._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_function_runs_word_by_word_while_the_index_is_built(spark):
+    built = index.embedded_chunks(papers(spark, paper(250, "a")))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "lambda" not in plan and "Exchange" not in plan
+    assert [len(r["embedding"]["idx"]) > 0 for r in built.collect()] == [True, True]
